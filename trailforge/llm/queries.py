@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, warc
+from . import html_text, mixing, quality, warc
 from .common import table
 
 
@@ -12,13 +12,25 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, forest)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op4_mixing": op4_mixing,
+    "op5_quality": op5_quality,
     "op8_warc": op8_warc,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE: dict[str, str] = {}
