@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, mixing, quality, warc
+from . import html_text, language_id, mixing, quality, warc
 from .common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(~language_id.held_out()).select("text", "lang"))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -27,6 +34,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
     "op8_warc": op8_warc,
