@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_sql, html_text, language_id, mixing, quality, warc
+from . import bpe_sql, html_text, language_id, mixing, quality, token_counts, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +33,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, forest)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
@@ -45,6 +50,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
+    "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
     "op10_html_extraction": op10_html_extraction,
 }
