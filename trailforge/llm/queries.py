@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_sql, html_text, language_id, mixing, quality, token_counts, warc
+from . import bpe_sql, html_text, language_id, mixing, pii, quality, token_counts, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -41,6 +41,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
+    "op9_pii": op9_pii,
     "op10_html_extraction": op10_html_extraction,
 }
 
