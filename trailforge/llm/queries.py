@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_sql, html_text, language_id, mixing, pii, quality, token_counts, warc
+from . import bpe_sql, html_text, language_id, mixing, near_dups, pii, quality, token_counts, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -19,6 +19,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_dups(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_sql.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=False)
 
@@ -51,6 +55,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_near_dups": op2_near_dups,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
