@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_sql, html_text, language_id, mixing, near_dups, pii, quality, token_counts, warc
+from . import bpe_sql, embedding_dups, html_text, language_id, mixing, near_dups, pii, quality, token_counts, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -37,6 +37,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, forest)
 
 
+def op6_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.embedding_dups(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
+    "op6_embedding_dups": op6_embedding_dups,
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
