@@ -6,9 +6,13 @@
    one. Two sets of similarity t share at least need(s) of s retained values (s * t less 4.3 standard deviations); so,
    with values ordered by rarity, they share one of the s - need(s) + 1 rarest of each: only those enter the lists.
    A passage that very many documents share fills only the common end, and so makes no long lists.
-3. Pairs come from the lists without taking all pairs of one: first each member with the list's pivot (the same pivot
-   in all lists of a group), then, in lists whose members aren't yet one component, with a pivot of the list's own,
-   and last only pairs across components. Pairs within one component need no test: they change nothing.
+3. Pairs come from the lists without taking all pairs of one: first each member with the list's pivot, the member with
+   the fewest rare values (the least edited copy). Where a list's members aren't one component yet, their full sets
+   are listed anew: with shingles ordered by rarity, similar sets of sizes n and m share one of the first
+   n - ceil(t / (1 + t) * (n + m)) + 1 of each; the lists are kept per pair of size ranges, so that this bound is tight
+   and copies with too many edits enter no common list at all. Again members meet pivots, and last those pairs
+   across components whose positions leave room for enough in common. Pairs within one component need no test: they
+   change nothing.
 4. A pair is estimated on the sketch of its union (the k smallest of both: the share found in both); what is not
    clearly below the threshold is verified on the full sets: 100 * common >= percent * union.
 5. Components of the verified links; a document is kept if its doc_id is its component's smallest.
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, written
@@ -39,6 +43,9 @@ K = 32
 #: Classes of which the ids are broadcast at most (two longs each); beyond, the join is by shuffle.
 MOST_BROADCAST = 1_000_000
 HELD_WORDS = 300_000
+#: Sizes of sets in one range differ by this factor at most.
+SIZE_STEP = 1.05
+FULL_KEY = ["value", "low", "high"]
 
 
 class _Words(dict):
@@ -106,19 +113,39 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(run, "id long, set array<long>")
 
 
-def lists(classes: DataFrame, percent: int, k: int = K) -> DataFrame:
-    """value, id: the inverted lists of two members or more. classes: id, n, sketch."""
-    from pyspark.sql import Window
-
-    postings = classes.select("id", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
+def _ranked(postings: DataFrame) -> DataFrame:
+    """postings (id, s, value; s values in all) of values of two members or more, with pos: the place in the order from
+    rare to common among all of the id's values. An id's own values are its group; nothing larger is gathered."""
     shared = written(postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "near-shared")
-    needs = F.element_at(F.array(*[F.lit(need(s, percent)) for s in range(1, k + 1)]), F.col("s"))
-    met = postings.join(shared, "value")
     own = Window.partitionBy("id")
-    ranked = met.withColumn("rank", F.row_number().over(own.orderBy("df", "value"))).withColumn("n_shared", F.count("*").over(own))
-    entered = written(ranked.where(F.col("rank") <= F.col("n_shared") - needs + 1).select("value", "id"), "near-entered")
-    long = written(entered.groupBy("value").agg(F.count("*").alias("members")).where("members > 1"), "near-long")
-    return written(entered.join(long, "value").select("value", "id"), "near-lists")
+    met = postings.join(shared, "value").withColumn("rank", F.row_number().over(own.orderBy("df", "value"))).withColumn("n_shared", F.count("*").over(own))
+    return met.select("id", "s", "value", (F.col("s") - F.col("n_shared") + F.col("rank")).alias("pos"))
+
+
+def _long(entered: DataFrame, key: list[str]) -> DataFrame:
+    """The entries of lists of two members or more."""
+    entered = written(entered, "near-entered")
+    long = written(entered.groupBy(*key).agg(F.count("*").alias("members")).where("members > 1").drop("members"), "near-long")
+    return written(entered.join(long, key), "near-lists")
+
+
+def lists(classes: DataFrame, percent: int, k: int = K) -> DataFrame:
+    """value, id, pos: the inverted lists of sketches. classes: id, sketch."""
+    ranked = _ranked(classes.select("id", F.size("sketch").alias("s"), F.explode("sketch").alias("value")))
+    needs = F.element_at(F.array(*[F.lit(need(s, percent)) for s in range(1, k + 1)]), F.col("s"))
+    return _long(ranked.where(F.col("pos") <= F.col("s") - needs + 1).select("value", "id", "pos"), ["value"])
+
+
+def full_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """value, low, high (size ranges), id, n, pos: the inverted lists of full sets. sets: id, set."""
+    t = percent / 100
+    n, range_of = F.col("n"), lambda x: F.floor(F.log(x) / math.log(SIZE_STEP) + 1e-9)
+    ranked = _ranked(sets.select("id", F.size("set").alias("s"), F.explode("set").alias("value"))).withColumnRenamed("s", "n")
+    most = F.least(n / t, (n - F.col("pos") + 1) * ((1 + t) / t) - n)
+    met = ranked.withColumn("most", most).where(F.col("most") >= n * t)
+    ranges = met.withColumn("own", range_of(n)).withColumn("other", F.explode(F.sequence(range_of(F.ceil(n * t - 1e-9)), range_of(F.greatest(F.col("most"), F.ceil(n * t - 1e-9)) + 1e-6))))
+    entered = ranges.select("value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "n", "pos")
+    return _long(entered, FULL_KEY)
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int = K) -> DataFrame:
@@ -156,44 +183,56 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _from_pivots(members: DataFrame, order) -> DataFrame:
-    """Pairs (a < b) of each list's pivot, the member of smallest order, with its members of other components."""
-    pivots = written(members.groupBy("value").agg(F.min(F.struct(order.alias("o"), F.col("id").alias("pivot"), F.col("component").alias("own"))).alias("x")).select("value", "x.pivot", "x.own"), "near-pivots")
-    met = members.join(pivots, "value").where("id <> pivot and component <> own")
+def _from_pivots(members: DataFrame, key: list[str]) -> DataFrame:
+    """Pairs (a < b) of each list's pivot, the member at the smallest position, with its members of other components."""
+    first = F.min(F.struct("pos", F.xxhash64("id").alias("o"), F.col("id").alias("pivot"), F.col("component").alias("own")))
+    pivots = written(members.groupBy(*key).agg(first.alias("x")).select(*key, "x.pivot", "x.own"), "near-pivots")
+    met = members.join(pivots, key).where("id <> pivot and component <> own")
     return met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs (a < b) of a list's members in different components."""
-    left, right = members.select("value", F.col("id").alias("a"), F.col("component").alias("ca")), members.select("value", F.col("id").alias("b"), F.col("component").alias("cb"))
-    return left.join(right, "value").where("a < b and ca <> cb").select("a", "b").distinct()
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of a full list's members in different components, with room for enough in common."""
+    t = percent / 100
+    of = lambda x: members.select(*FULL_KEY, F.col("id").alias(x), F.col("component").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"), F.col("pos").alias(f"p_{x}"))
+    room = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) + 1 >= F.ceil((F.col("n_a") + F.col("n_b")) * (t / (1 + t)) - 1e-9)
+    left, right = of("a"), of("b")
+    same = [left[c] == right[c] for c in FULL_KEY]
+    met = left.join(right, [*same, F.col("a") < F.col("b"), F.col("c_a") != F.col("c_b"), room])
+    return met.select("a", "b").distinct()
+
+
+def _open(members: DataFrame, labels: DataFrame, key: list[str]) -> DataFrame:
+    """The members of lists that have more than one component, with their components."""
+    rest = [c for c in members.columns if c != "id"]
+    marked = written(members.join(labels, "id", "left").select("id", *rest, F.coalesce("component", "id").alias("component")), "near-marked")
+    several = marked.groupBy(*key).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select(*key)
+    return written(marked.join(written(several, "near-several"), key), "near-open")
 
 
 def link(docs: DataFrame, classes: DataFrame, size: int, percent: int, k: int = K) -> DataFrame:
     """id, component of the classes that are linked. classes: a written table (id, n, sketch)."""
     members = lists(classes, percent, k)
     sets = written(full_sets(docs, members.select("id").distinct(), size), "near-sets")
-    found = tested = labels = None
-    for pairs_of in (lambda m: _from_pivots(m, F.xxhash64("id")), lambda m: _from_pivots(m, F.xxhash64("id", "value")), _across):
-        if labels is None:
-            open_lists = members.withColumn("component", F.col("id"))
-        else:
-            marked = members.join(labels, "id", "left").select("value", "id", F.coalesce("component", "id").alias("component"))
-            marked = written(marked, "near-marked")
-            several = written(marked.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("value"), "near-several")
-            open_lists = written(marked.join(several, "value"), "near-open")
-        pairs = pairs_of(open_lists)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "near-pairs")
-        if pairs.isEmpty():
-            break
-        likely = written(estimated(pairs, classes, percent, k), "near-likely")
-        links = written(verified(likely, sets, percent), "near-links")
+    found = tested = None
+
+    def test(pairs: DataFrame) -> DataFrame:
+        """Verify pairs that were not tested yet; the components of all links so far."""
+        nonlocal found, tested
+        new = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        tested = new if tested is None else tested.unionByName(new)
+        links = written(verified(written(estimated(new, classes, percent, k), "near-likely"), sets, percent), "near-links")
         found = links if found is None else found.unionByName(links)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = components(found)
-    return labels if labels is not None else docs.sparkSession.createDataFrame([], "id long, component long")
+        return components(found)
+
+    labels = test(_from_pivots(members.withColumn("component", F.col("id")), ["value"]))
+    unsettled = written(_open(members, labels, ["value"]).select("id").distinct(), "near-unsettled")
+    if unsettled.isEmpty():
+        return labels
+    full = full_lists(sets.join(unsettled, "id", "left_semi"), percent)
+    labels = test(_from_pivots(_open(full, labels, FULL_KEY), FULL_KEY))
+    rest = _open(full, labels, FULL_KEY)
+    return labels if rest.isEmpty() else test(_across(rest, percent))
 
 
 def near_dups(docs: DataFrame, size: int = 5, percent: int = 80, k: int = K) -> DataFrame:
