@@ -262,6 +262,6 @@ def normalize_records(raw: DataFrame, column: str = "value", sanitize: bool = Fa
 def kept_and_rejected(normalized: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """The two relations of normalize_records(); strict raises on the first reject that is met."""
     if strict:
-        fail = F.raise_error(F.concat_ws(" at ", "reason", "place")).cast("string")
-        normalized = normalized.withColumn("conversation", F.when(F.col("reason").isNotNull(), fail).otherwise(F.col("conversation")))
+        fail = F.raise_error(F.concat_ws(" at ", "reason", "place")).cast("boolean")
+        return normalized.where(F.when(F.col("reason").isNull(), True).otherwise(fail)).drop("reason", "place"), normalized.where(F.lit(False)).drop("conversation")
     return normalized.where("reason is null").drop("reason", "place"), normalized.where("reason is not null").drop("conversation")

@@ -62,26 +62,36 @@ class ResultStore:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def objects(self) -> DataFrame:
+        """All results stored by now. The batches are named one by one: Spark takes two scans of one folder for the same,
+        even where files came in between, and would then reuse the older one inside a plan."""
         fs, path = self._fs(f"{self.root}/objects")
-        return self.spark.read.schema(OBJECTS).parquet(path.toString()) if fs.exists(path) else self.spark.createDataFrame([], OBJECTS)
+        batches = sorted(x.getPath().toString() for x in fs.listStatus(path)) if fs.exists(path) else []
+        return self.spark.read.schema(OBJECTS).parquet(*batches) if batches else self.spark.createDataFrame([], OBJECTS)
 
     def put(self, rows: DataFrame, strict: bool = False) -> int:
         """Store new rows (key, stage, payload); an equal one is left alone (or refused, if strict), a different one is an
-        error, and then nothing is stored. Returns the number stored. One anti-join and one append."""
-        rows = rows.select("key", "stage", "payload")
-        if not rows.where(~F.col("key").rlike(KEY) | F.col("key").isNull()).isEmpty():
-            raise StoreError("a key is 64 lower-case hexadecimal digits")
-        old = self.objects()
-        same = rows.join(old.select("key", F.col("payload").alias("old")), "key")
-        if not conflicts(rows).isEmpty() or not same.where("not (payload <=> old)").isEmpty():
-            raise IdempotencyError("a key is stored with other content")
-        if strict and not same.isEmpty():
-            raise IdempotencyError("a key is stored already")
-        new = pending(rows, old).dropDuplicates(["key"])
-        n = new.count()
-        if n:
-            new.write.mode("append").parquet(f"{self.root}/objects")
-        return n
+        error, and then nothing is stored. Returns the number stored. The rows are computed once, into a staging
+        folder; one anti-join and one append follow."""
+        fs, staging = self._fs(f"{self.root}/staging/{uuid.uuid4().hex}")
+        rows.select("key", "stage", "payload").write.parquet(staging.toString())
+        try:
+            rows = self.spark.read.schema(OBJECTS).parquet(staging.toString())
+            if not rows.where(~F.col("key").rlike(KEY) | F.col("key").isNull()).isEmpty():
+                raise StoreError("a key is 64 lower-case hexadecimal digits")
+            old = self.objects()
+            same = rows.join(old.select("key", F.col("payload").alias("old")), "key")
+            if not conflicts(rows).isEmpty() or not same.where("not (payload <=> old)").isEmpty():
+                raise IdempotencyError("a key is stored with other content")
+            if strict and not same.isEmpty():
+                raise IdempotencyError("a key is stored already")
+            new = pending(rows, old).dropDuplicates(["key"])
+            if new.isEmpty():
+                return 0
+            batch = f"{self.root}/objects/batch-{uuid.uuid4().hex}"
+            new.write.parquet(batch)
+            return self.spark.read.schema(OBJECTS).parquet(batch).count()
+        finally:
+            fs.delete(staging, True)
 
     def get(self, key: str) -> dict | None:
         if not re.match(KEY, key):
