@@ -142,6 +142,29 @@ def test_render_bytes(spark):
         render.segments({"messages": [{**blank, "role": "robot"}]})
 
 
+def test_dataset_measures(spark):
+    blank = {"reasoning_content": "", "tool_calls": [], "results": [], "images": []}
+    talk = lambda *turns_: json.dumps({"tools": [], "messages": [{**blank, "role": r, "content": c} for r, c in turns_]})
+    rows = spark.createDataFrame([(1, talk(("user", "a"), ("assistant", "b"))), (2, talk(("user", "a"))), (3, talk(("user", "a" * 500), ("assistant", "b"))), (4, talk(("user", "a"), ("assistant", "b")))], "conv_id long, conversation string")
+    kept, refused = render.measure_dataset(rows, max_records=3, max_tokens=200)
+    assert [r.conv_id for r in kept.collect()] == ["1"] and {r.conv_id: r.reason for r in refused.collect()} == {"2": "nothing_supervised", "3": "truncated"}
+    assert {r.conv_id: r.supervised_tokens for r in render.measured_rows(rows).collect()} == {"1": 2, "3": 2, "4": 2}
+    pairs = spark.createDataFrame([("t", talk(("user", "a"), ("assistant", "bb")), talk(("user", "a"), ("assistant", "b")))], "task_id string, chosen string, rejected string")
+    both = render.pair_examples(pairs)
+    assert batching.pair_lengths(both.withColumn("id", F.lit(1))).head().length == len(both.head().chosen.input_ids)
+    assert one(spark, render.sequence_logprob(F.array(F.lit(-1.0), F.lit(-2.0)), F.array(F.lit(0), F.lit(1))).alias("x")).x == -2.0
+
+
+def test_collate(spark):
+    schema = "batch int, input_ids array<int>, attention_mask array<int>, labels array<int>, images array<struct<grid_thw:array<int>,merge_size:int>>"
+    good = spark.createDataFrame([(0, [9, 9, 1], [1, 1, 1], [9, 9, 1], [([1, 2, 4], 2)]), (0, [1], [1], [1], None)], schema)
+    assert sorted(tuple(r.labels) for r in batching.collate(good, 0, 9, "batch").collect()) == [(-100, -100, 1), (1, -100, -100)]
+    with pytest.raises(ValueError):
+        batching.collate(good, 9, 9, "batch")
+    with pytest.raises(Exception, match="fit the images"):
+        batching.collate(good.withColumn("images", F.lit(None).cast(good.schema["images"].dataType)), 0, 9, "batch").collect()
+
+
 # Trajectories, scores, rewards
 
 TURNS = "task_id long, sample_index int, turn_index int, has_call boolean, tool_name string, status string, call_index int"

@@ -201,6 +201,17 @@ def test_run_and_resume(spark, tmp_path):
     judged = evaluation.run_evaluation(CONFIG, todo, store, generate=never, execute=never, judge=evaluation.session_judge({"a#0": 1.0, "a#1": 0.5, "loops#0": 0.0, "loops#1": 1.0}), identity="j", **args).collect()
     assert {r.task_id: (r.passed, r.judged) for r in judged} == {"a": (1, 2), "lost": (0, 0), "loops": (1, 2)}
     assert {r.stage for r in store.events("r").collect()} == {"generate", "execute", "judge"}
+    assert {(r.task_id, r.sample_index): r.reason for r in evaluation.mine(CONFIG, todo, 2, store, max_turns=3).collect()} == {("a", 0): None, ("a", 1): "below_threshold", ("lost", 0): "harness_error", ("lost", 1): "harness_error", ("loops", 0): "truncated", ("loops", 1): "truncated"}
+    declared = todo.withColumn("verification", F.array(F.lit("go_test")))
+    found = {r.task_id: r for r in evaluation.build_preferences(CONFIG, declared, 2, store, max_turns=3).collect()}
+    assert (found["a"].reason, found["a"].chosen, found["a"].rejected) == (None, 0, 1) and found["lost"].reason == found["loops"].reason == "nothing_gradable"
+    path = str(tmp_path / "tasks.jsonl")
+    with open(path, "w") as f:
+        f.write("".join(json.dumps({"id": i, "prompt": p, "verification": ["go_test"]}) + "\n" for i, p in (("a", "do a"), ("lost", "x"), ("loops", "y"))))
+    common = ["--store", str(tmp_path / "s"), "--run-id", "r"]
+    assert cli.main(["data", "mine", path, *common, "--out", str(tmp_path / "mined")], spark) == 0
+    assert cli.main(["data", "preferences", path, *common, "--out", str(tmp_path / "pairs")], spark) == 0
+    assert cli.main(["data", "mine", path, *common[:3], "none", "--out", str(tmp_path / "x")], spark) == 1
     with pytest.raises(StoreError):
         evaluation.run_evaluation(CONFIG, todo, store, generate=never, execute=never, run_id="r", n_samples=3, max_turns=3)
     with pytest.raises(ConfigError):
@@ -258,6 +269,16 @@ def test_planning():
         planning.resume_point("auto", lambda: None)
 
 
+def test_run_config_and_push_state(tmp_path):
+    config = planning.RunConfig("m", "r", "d")
+    assert set(config.fingerprint()) == set(CONFIG)
+    with pytest.raises(ConfigError):
+        planning.RunConfig("m", "", "d")
+    assert planning.read_push_state(str(tmp_path)) is None
+    planning.write_push_state(str(tmp_path), step=3)
+    assert planning.read_push_state(str(tmp_path)) == {"step": 3}
+
+
 def test_stage_chain(tmp_path):
     folder = str(tmp_path / "logs")
     said = []

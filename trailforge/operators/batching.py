@@ -102,3 +102,23 @@ def over_budget(accounts: DataFrame, most: int = 1_000_000) -> DataFrame:
 def too_long(rows: DataFrame, limit: int) -> DataFrame:
     """The first example (id, length) over the context limit; no row if all fit."""
     return rows.where(F.col("length") > limit).agg(F.min_by(F.struct("id", "length"), "id").alias("x")).where("x is not null").select("x.*")
+
+
+def pair_lengths(pairs: DataFrame) -> DataFrame:
+    """id, length of pairs (id, chosen, rejected with input_ids) by their longer side: what length_batches() takes."""
+    return pairs.select("id", F.greatest(F.size("chosen.input_ids"), F.size("rejected.input_ids")).cast("long").alias("length"))
+
+
+def collate(rows: DataFrame, pad_id: int, vision_pad: int, *batch: str) -> DataFrame:
+    """pad() with vision labels masked; the pads must differ, and each row hold as many vision tokens as its images
+    (grids, merge_size) declare."""
+    if pad_id == vision_pad:
+        raise ValueError("the pad of texts and the pad of images are the same")
+    declared = F.aggregate(F.coalesce("images", F.array().cast("array<struct<grid_thw:array<int>,merge_size:int>>")), F.lit(0), lambda a, x: a + merged_patches(x["grid_thw"], x["merge_size"]))
+    right = declared == count_vision(F.col("input_ids"), vision_pad)
+    checked = rows.where(F.when(right, True).otherwise(F.raise_error(F.lit("vision tokens don't fit the images")).cast("boolean")))
+    return pad(checked.withColumn("labels", mask_vision(F.col("labels"), F.col("input_ids"), vision_pad)), pad_id, *batch)
+
+
+def pixel_budget(patches: Column, values: int) -> Column:
+    return patches * values

@@ -36,9 +36,10 @@ def _hook(rows: DataFrame, make: Callable[[], Callable[[dict], dict]], columns:
 
 
 def _computed(store: ResultStore, run_id: str, rows: DataFrame, make, columns: list[str], turn: int) -> DataFrame:
-    """rows (key, stage, ...) with the payload: stored results are used, the others are computed and stored first."""
-    missing = pending(rows, store.objects())
-    if not missing.isEmpty():
+    """rows (key, stage, ...) with the payload: stored results are used, the others are computed and stored first, or, if
+    make is None, left out."""
+    missing = pending(rows, store.objects()) if make else None
+    if missing is not None and not missing.isEmpty():
         store.put(_hook(missing.dropDuplicates(["key"]), make, columns))
         store.append_events(run_id, missing.select(F.lit("completed").alias("event"), "stage", "key", F.lit(turn).alias("turn")).distinct())
     return rows.join(store.objects().select("key", "payload"), "key")
@@ -90,6 +91,36 @@ def run_turns(config: dict, tasks: DataFrame, n_samples: int, store: ResultStore
     return found
 
 
+def rebuild_from_store(config: dict, tasks: DataFrame, n_samples: int, store: ResultStore, max_turns: int = MAX_TURNS) -> DataFrame:
+    """run_turns() of what is stored: nothing is computed, and a sample whose next result is missing ends there."""
+    return run_turns(config, tasks, n_samples, store, "", None, None, max_turns)
+
+
+def stored_verdicts(config: dict, samples: DataFrame, store: ResultStore) -> DataFrame:
+    """task_id, sample_index, score of the samples with a stored verdict."""
+    keyed = samples.select(*SAMPLE).withColumn("key", key_column(config, F.col("task_id"), F.col("sample_index"), F.lit("judge"), F.lit(0)))
+    return keyed.join(store.objects().select("key", "payload"), "key").select(*SAMPLE, F.get_json_object("payload", "$.score").cast("double").alias("score"))
+
+
+def mine(config: dict, tasks: DataFrame, n_samples: int, store: ResultStore, *, judged: bool = True, min_score: float = 1.0, max_turns: int = MAX_TURNS) -> DataFrame:
+    """mining.screened() of a stored run: every sample of every task with its reason, or none if it is admitted."""
+    from . import mining
+
+    whole = trajectory.summarised(per_turn(rebuild_from_store(config, tasks, n_samples, store, max_turns)), max_turns)
+    return mining.screened(whole, stored_verdicts(config, whole, store) if judged else None, min_score, tasks.select(F.col("id").alias("task_id")), n_samples)
+
+
+def build_preferences(config: dict, tasks: DataFrame, n_samples: int, store: ResultStore, *, min_margin: float = 0.0, max_turns: int = MAX_TURNS) -> DataFrame:
+    """reward.preference_outcomes() of a stored run, by the verification that each task declares."""
+    from . import reward
+
+    calls = rebuild_from_store(config, tasks, n_samples, store, max_turns)
+    declared = tasks.select(F.col("id").alias("task_id"), F.explode("verification").alias("tool_name"))
+    own = calls.join(declared, ["task_id", "tool_name"], "left_semi")
+    whole = trajectory.summarised(per_turn(calls), max_turns)
+    return reward.preference_outcomes(reward.rewards(own, whole, ("go_test", "go_build")), min_margin)
+
+
 def per_turn(calls: DataFrame) -> DataFrame:
     """Rows of run_turns() with the last call of a turn only, and its worst status: what summarised() takes."""
     rank = F.when(F.col("status") == "harness_error", 3).when(F.col("status") == "model_error", 2).when(F.col("status") == "tool_error", 1).otherwise(0)

@@ -127,3 +127,33 @@ def token_totals(rows: DataFrame) -> DataFrame:
     n, s = F.size("input_ids"), F.aggregate("assistant_mask", F.lit(0), lambda a, v: a + v)
     found = rows.agg(F.count("*").alias("records"), F.sum(n).alias("total"), F.sum(s).alias("supervised"), F.max(n).alias("longest"))
     return found.select("*", F.floor(F.col("total") / F.col("records")).alias("average"), F.least(F.lit(1.0), F.col("supervised") / F.col("total")).alias("share"))
+
+
+def measure_dataset(conversations: DataFrame, max_records: int | None = None, max_tokens: int | None = None, tokenizer: Callable[[], Callable[[str], list[int]]] = byte_tokenizer) -> tuple[DataFrame, DataFrame]:
+    """The examples of the first max_records conversations (by conv_id) that stay below max_tokens, and the others'
+    conv_id with the reason: truncated or nothing_supervised."""
+    rows = conversations
+    if max_records is not None:
+        rows = rows.orderBy("conv_id").limit(max_records)
+    made = examples(rows, tokenizer, on_empty="skip")
+    long = F.size("input_ids") >= max_tokens if max_tokens is not None else F.lit(False)
+    named = rows.select(F.col("conv_id").cast("string").alias("conv_id")).join(made.select("conv_id", long.alias("long")), "conv_id", "left")
+    refused = named.select("conv_id", F.when(F.col("long").isNull(), "nothing_supervised").when(F.col("long"), "truncated").alias("reason")).where("reason is not null")
+    return made.where(~long), refused
+
+
+def pair_examples(pairs: DataFrame, tokenizer: Callable[[], Callable[[str], list[int]]] = byte_tokenizer, max_length: int | None = None) -> DataFrame:
+    """task_id, chosen and rejected (input_ids, assistant_mask) of preference pairs whose sides are conversations in JSON."""
+    side = lambda name: examples(pairs.select(F.col("task_id").alias("conv_id"), F.col(name).alias("conversation")), tokenizer, max_length).select(F.col("conv_id").alias("task_id"), F.struct("input_ids", "assistant_mask").alias(name))
+    return side("chosen").join(side("rejected"), "task_id")
+
+
+def measured_rows(conversations: DataFrame, tokenizer: Callable[[], Callable[[str], list[int]]] = byte_tokenizer) -> DataFrame:
+    """conv_id, supervised_tokens, total_tokens by a real rendering: what a mined record is measured by."""
+    made = examples(conversations, tokenizer, on_empty="skip")
+    return made.select("conv_id", F.aggregate("assistant_mask", F.lit(0), lambda a, v: a + v).cast("long").alias("supervised_tokens"), F.size("input_ids").cast("long").alias("total_tokens"))
+
+
+def sequence_logprob(logprobs: Column, mask: Column) -> Column:
+    """The sum of log-probabilities at supervised positions."""
+    return F.aggregate(F.zip_with(logprobs, mask, lambda p, m: F.when(m == 1, p).otherwise(0.0)), F.lit(0.0), lambda a, v: a + v)

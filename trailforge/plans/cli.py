@@ -81,6 +81,40 @@ def judge(spark: SparkSession, args) -> int:
     return 0
 
 
+def _run_of(spark, args):
+    from ..operators.store import ResultStore
+
+    store = ResultStore(spark, args.store)
+    manifest = store.manifest(args.run_id)
+    if manifest is None:
+        raise EngineError(f"no such run: {args.run_id}")
+    rest = {k: v for k, v in manifest.items() if k not in ("n_samples", "max_turns", "judge", "store_version")}
+    return store, rest, manifest, files.read_eval_tasks(spark, args.tasks)
+
+
+def mine(spark: SparkSession, args) -> int:
+    """Admitted samples of a stored run; its parameters come from its manifest."""
+    from ..operators import evaluation, mining
+
+    store, config, manifest, todo = _run_of(spark, args)
+    rows = evaluation.mine(config, todo, manifest["n_samples"], store, judged=bool(manifest.get("judge")), min_score=args.min_score, max_turns=manifest["max_turns"])
+    found = {r["reason"]: r["n"] for r in _rows(mining.histogram(rows))}
+    named = todo.select(F.col("id").alias("task_id"), "repository", "package")
+    n = files.write_jsonl(mining.records(rows, named).select("metadata"), args.out) if found.get("admitted") else 0
+    print(json.dumps({"written": n, "reasons": found}))
+    return 0 if n else 2
+
+
+def preferences(spark: SparkSession, args) -> int:
+    from ..operators import evaluation, mining, reward
+
+    store, config, manifest, todo = _run_of(spark, args)
+    rows = evaluation.build_preferences(config, todo, manifest["n_samples"], store, min_margin=args.min_margin, max_turns=manifest["max_turns"])
+    n = files.write_jsonl(reward.pairs(rows), args.out)
+    print(json.dumps({"written": n, "reasons": {r["reason"]: r["n"] for r in _rows(mining.histogram(rows))}}))
+    return 0 if n else 2
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="trailforge")
     groups = top.add_subparsers(required=True)
@@ -96,6 +130,9 @@ def parser() -> argparse.ArgumentParser:
     add(data, "go-pairs", code_pairs, (["paths"], {"nargs": "+"}), (["--out"], {}), (["--include-review"], {"action": "store_true"}))
     add(data, "tasks", make_tasks, (["root"], {}), (["--repository"], {"required": True}), (["--out"], {"required": True}), (["--limit"], {"type": int, "default": 0}))
     add(data, "validate", validate, (["path"], {}), (["--out"], {"required": True}), (["--sanitize"], {"action": "store_true"}), (["--strict"], {"action": "store_true"}))
+    stored = [(["tasks"], {}), (["--store"], {"required": True}), (["--run-id"], {"required": True}), (["--out"], {"required": True})]
+    add(data, "mine", mine, *stored, (["--min-score"], {"type": float, "default": 1.0}))
+    add(data, "preferences", preferences, *stored, (["--min-margin"], {"type": float, "default": 0.0}))
     add(evaluate, "queue", queue, (["path"], {}))
     add(evaluate, "judge", judge, (["queue"], {}), (["verdicts"], {}), (["--store"], {"required": True}), (["--identity"], {"default": "session"}))
     return top

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 from dataclasses import asdict, dataclass, field
 
 from ..errors import ConfigError, StoreError
@@ -166,3 +167,47 @@ def resume_point(wanted: str, remote_has_weights) -> str | None:
     if there is None:
         raise ConfigError("it is unknown whether there is a checkpoint; say one, or none")
     return "remote" if there else None
+
+
+@dataclass(frozen=True)
+class RunConfig:
+    """What identifies a run; n_samples and max_turns are 1 at least, and the model and data are named."""
+
+    model_id: str
+    model_revision: str
+    dataset_version: str
+    seed: int = 0
+    decode_params: dict = field(default_factory=dict)
+    n_samples: int = 1
+    max_turns: int = 8
+    image_digest: str = ""
+    harness_version: str = "0.2.0"
+    format_version: str = "anthropic-tools-v1"
+    template_sha: str = ""
+    tool_catalog_sha: str = ""
+
+    def __post_init__(self):
+        if self.n_samples < 1 or self.max_turns < 1 or not (self.model_id and self.model_revision and self.dataset_version):
+            raise ConfigError("a run names its model, revision and data, and has samples and turns")
+
+    def fingerprint(self) -> dict:
+        """The constant fields of keys.key_column()."""
+        return {k: v for k, v in asdict(self).items() if k not in ("n_samples", "max_turns")}
+
+
+def write_push_state(directory: str, **state) -> None:
+    """A checkpoint's own description, next to its files."""
+    os.makedirs(directory, exist_ok=True)
+    with open(os.path.join(directory, "push_state.json"), "w", encoding="utf-8") as f:
+        json.dump(state, f, sort_keys=True)
+
+
+def read_push_state(directory: str) -> dict | None:
+    path = os.path.join(directory, "push_state.json")
+    if not os.path.exists(path):
+        return None
+    with open(path, encoding="utf-8") as f:
+        try:
+            return json.load(f)
+        except ValueError as e:
+            raise StoreError(f"{path} is corrupt") from e
