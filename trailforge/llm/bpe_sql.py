@@ -2,13 +2,14 @@
 
 Texts are cut by the tokenizer's pattern; the distinct pieces that a worker has not met yet go through DuckDB:
 
-* encode: a piece is a list of rows (w, pos, tok, nx), nx being the position of the next token. Each step of a
-  recursive query joins neighbours with the merge table, finds for every piece its leftmost pair of minimum rank and
+* encode: a piece is a list of rows (w, pos, tok), each with its next token's place and id. Each step of a recursive
+  query joins them with the merge table, finds for every piece its leftmost pair of minimum rank and
   contracts it; pieces without a pair leave the recursion: the fixpoint.
 * decode: the tokens' rows join the vocabulary and an ordered aggregation puts the bytes together.
 
 A text's ids and decoded bytes are those of its pieces, one after the other. Results of pieces stay in two generations
-of a dictionary of HELD entries each (bounded memory; pieces in use survive), which changes nothing but the speed.
+of a dictionary of HELD entries each (bounded memory; pieces in use survive) until the task ends, which changes nothing
+but the speed.
 Pieces longer than LONG bytes would make the set-wise steps quadratic; they contract the same pairs in the same order by
 a priority queue instead.
 
@@ -27,26 +28,30 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import lean, slices
 
 LONG = 96
-HELD = 400_000
-CHUNK = 16_384
+HELD = 150_000
+CHUNK = 32_768
 
-#: Positions are below 256, so that a pair (rank, its position, position and successor of its right token) is one number.
+#: A row has its token, the next token's place and the next token. Places are below 256, so that a pair (rank, its place,
+#: the next token's place) is one number.
 ENCODE = """
-with recursive s(w, pos, tok, nx, step) as (
-  select w, pos, tok, nx, 0 from pieces
+with recursive s(w, pos, tok, nx, nt, step) as (
+  select w, pos, tok, nx, nt, 0 from pieces
   union all (
     with best as (
-      select a.w, min((m.id::bigint << 24) | (a.pos << 16) | (b.pos << 8) | b.nx) as pair
-      from s a join s b on b.w = a.w and b.pos = a.nx join merges m on m.l = a.tok and m.r = b.tok
-      group by a.w)
+      select w, min((m.id::bigint << 16) | (pos << 8) | nx) as pair
+      from s join merges m on m.l = s.tok and m.r = s.nt group by w),
+    met as (
+      select b.w, (b.pair >> 16)::int as id, ((b.pair >> 8) & 255)::int as here, (b.pair & 255)::int as gone, r.nx, r.nt
+      from best b join s r on r.w = b.w and r.pos = (b.pair & 255))
     select s.w, s.pos,
-      case when s.pos = (pair >> 16) & 255 then (pair >> 24)::int else s.tok end,
-      case when s.pos = (pair >> 16) & 255 then (pair & 255)::int else s.nx end,
+      case when s.pos = met.here then met.id else s.tok end,
+      case when s.pos = met.here then met.nx else s.nx end,
+      case when s.pos = met.here then met.nt when s.nx = met.here then met.id else s.nt end,
       s.step + 1
-    from s join best on best.w = s.w where s.pos <> (pair >> 8) & 255)
+    from s join met on met.w = s.w where s.pos <> met.gone)
 )
 select s.w, s.pos, s.tok from s join (select w, max(step) as step from s group by w) e on e.w = s.w and e.step = s.step
 """
@@ -66,8 +71,6 @@ class Merger:
     """The DuckDB side: merge table and vocabulary of one rank file."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        import duckdb
-
         self.ranks = ranks
         left, right, whole = [], [], []
         for token, i in ranks.items():
@@ -75,21 +78,34 @@ class Merger:
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), whole.append(i)
-        self.pairs = dict(zip(zip(left, right, strict=True), whole, strict=True))
-        self.bytes_of = {i: t for t, i in ranks.items()}
+        self.merges = pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "id": pa.array(whole, pa.int32())})
+        self.vocabulary = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])})
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect()
-        self.con.execute("set threads = 1")
-        self.con.execute("set memory_limit = '300MB'")
-        self.con.register("given", pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "id": pa.array(whole, pa.int32())}))
-        self.con.execute("create table merges as select * from given")
-        self.con.unregister("given")
-        self.con.register("given", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])}))
-        self.con.execute("create table vocabulary as select * from given")
-        self.con.unregister("given")
+        self.con = self.pairs = None
+
+    def open(self) -> None:
+        """A connection with the two tables; close() gives DuckDB's memory back."""
+        import duckdb
+
+        if self.con is None:
+            self.con = duckdb.connect()
+            self.con.execute("set threads = 1")
+            self.con.execute("set memory_limit = '300MB'")
+            for name in ("merges", "vocabulary"):
+                self.con.register("given", getattr(self, name))
+                self.con.execute(f"create table {name} as select * from given")
+                self.con.unregister("given")
+
+    def close(self) -> None:
+        if self.con is not None:
+            self.con.close()
+        self.con = self.pairs = None
 
     def contract(self, piece: bytes) -> list[int]:
         """The same contraction by a priority queue, for long pieces."""
+        if self.pairs is None:
+            columns = (self.merges.column(c).to_pylist() for c in ("l", "r", "id"))
+            self.pairs = {(a, b): i for a, b, i in zip(*columns, strict=True)}
         tokens = [int(self.byte_ids[b]) for b in piece]
         n = len(tokens)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -118,9 +134,13 @@ class Merger:
         done = [(w, i, t) for w, ids in long.items() for i, t in enumerate(ids)] + [(w, 0, r) for w, r in enumerate(whole) if r is not None]
         sizes = np.array([len(pieces[w]) for w in short], np.int64)
         pos = (np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+        self.open()
         found = []
         if short:
-            self.con.register("pieces", pa.table({"w": np.repeat(np.array(short, np.int32), sizes), "pos": pos, "tok": self.byte_ids[raw], "nx": pos + np.int32(1)}))
+            tok = self.byte_ids[raw]
+            follows = np.append(tok[1:], np.int32(-1))
+            follows[np.cumsum(sizes) - 1] = -1  # no merge has it
+            self.con.register("pieces", pa.table({"w": np.repeat(np.array(short, np.int32), sizes), "pos": pos, "tok": tok, "nx": pos + np.int32(1), "nt": follows}))
             found = self.con.execute(DECODE.format(ENCODE)).fetchall()
             self.con.unregister("pieces")
         if done:
@@ -129,6 +149,7 @@ class Merger:
 
     def decode(self, tokens: pa.Table) -> list[tuple[int, str, list[int]]]:
         """For each w of rows (w, pos, tok): w, the decoded bytes in hex, and the ids in order."""
+        self.open()
         self.con.register("tokens", tokens)
         found = self.con.execute(DECODE.format("select * from tokens")).fetchall()
         self.con.unregister("tokens")
@@ -144,13 +165,16 @@ class Codec:
         self.young: dict[str, tuple[str, bytes, bytes]] = {}
         self.old: dict[str, tuple[str, bytes, bytes]] = {}
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.young) + len(pieces) > HELD:
-            self.old, self.young = self.young, {}
+    def forget(self) -> None:
+        """Give the memory of pieces and of DuckDB back; ranks and merges stay."""
+        self.young, self.old = {}, {}
+        self.merger.close()
+
+    def _learned(self, pieces: list[str]) -> Iterator[tuple[str, tuple[str, bytes, bytes]]]:
         for at in range(0, len(pieces), CHUNK):
             part = pieces[at : at + CHUNK]
             for w, text, ids in self.merger.encode([p.encode() for p in part]):
-                self.young[part[w]] = " ".join(map(str, ids)), np.array(ids, "<i4").tobytes(), bytes.fromhex(text)
+                yield part[w], (" ".join(map(str, ids)), np.array(ids, "<i4").tobytes(), bytes.fromhex(text))
 
     def run(self, texts: list) -> Iterator[list[tuple[str, bytes, bytes]]]:
         """For each text, (ids in decimal, ids as 4-byte integers, decoded bytes) of its pieces."""
@@ -158,20 +182,11 @@ class Codec:
         met: set[str] = set()
         for pieces in cut:
             met.update(pieces)
-        held = {}
-        new = []
-        for p in met:
-            x = self.young.get(p) or self.old.get(p)
-            if x is None:
-                new.append(p)
-            else:
-                held[p] = x
-        self._learn(new)
-        for p in new:
-            held[p] = self.young[p]
-        if len(self.young) + len(held) > HELD:
-            self.old, self.young = self.young, {}
+        held = {p: x for p in met if (x := self.young.get(p) or self.old.get(p)) is not None}
+        held.update(self._learned([p for p in met if p not in held]))
         self.young.update(held)
+        if len(self.young) > HELD:
+            self.old, self.young = self.young, {}
         get = held.__getitem__
         for pieces in cut:
             yield list(map(get, pieces))
@@ -193,6 +208,12 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         sha = lambda x: hashlib.sha256(x).hexdigest()
+        try:
+            yield from encoded(own, sha, batches)
+        finally:
+            own.forget()
+
+    def encoded(own: Codec, sha, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, most=2 << 20):
             n, first, second, all_ids = [], [], [], []
             for got in own.run(texts):
@@ -210,14 +231,20 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> DataFr
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), schema)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, text of rows (doc_id, ids): an ordered aggregation per batch; bytes that are no UTF-8 are replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern).merger
+        own = codec(path, pattern)
+        try:
+            yield from decoded(own.merger, batches)
+        finally:
+            own.forget()
+
+    def decoded(own: Merger, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("ids")
             sizes = [0 if n is None else n for n in pa.compute.list_value_length(rows).to_pylist()]
@@ -229,4 +256,4 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                 texts[at] = bytes.fromhex(text).decode("utf-8", "replace")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(lean(run), "doc_id long, text string")

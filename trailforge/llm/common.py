@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,9 +21,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; only where the session names none (tests) a new local one."""
+    """The folder that the driver and all executors see. Where the session names none, a new local one does, but only if
+    driver and executors are one process, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="trailforge-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -30,21 +37,48 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/trailforge/{label}-{uuid.uuid4().hex[:12]}"
 
 
+class Scratch:
+    """Collects the tables that written() makes while it is open, and deletes them when it closes, but for those kept.
+
+    A table that a lazy result still reads must be kept."""
+
+    open: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        Scratch.open.append(self)
+        return self
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        """frame, as written() gave it, outlives this scratch (and becomes the outer one's, if there is one)."""
+        kept = [p for p in self.paths if p[0] is frame]
+        self.paths = [p for p in self.paths if p[0] is not frame]
+        for outer in Scratch.open[-2:-1]:
+            outer.paths += kept
+        return frame
+
+    def __exit__(self, *_) -> None:
+        Scratch.open.remove(self)
+        for _, path in self.paths:
+            delete(self.spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write df as Parquet into the shared folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(spark: SparkSession, *frames: DataFrame) -> None:
-    """Delete written tables that nothing lazy reads any longer."""
-    jvm = spark.sparkContext._jvm
-    for frame in frames:
-        for name in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    found = spark.read.schema(df.schema).parquet(path)
+    for scratch in Scratch.open[-1:]:
+        scratch.paths.append((found, path))
+    return found
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +91,26 @@ def hashed(*cols: str):
     return F.xxhash64(*cols)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, next to the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run):
+    """A function over Arrow batches that gives its memory back when its task ends."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Cut Arrow batches so that each holds about `most` bytes of text, or one row if that alone is longer."""
     for batch in batches:

@@ -32,7 +32,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch, lean, written
 from .components import components
 
 COSINE = 0.95
@@ -110,7 +110,7 @@ def filtered(vectors: DataFrame, codes: int, carry: bool) -> DataFrame:
                     yield pa.RecordBatch.from_pydict(columns)
 
     schema = "dim int, filter long, id long" + ", n long, smaller array<long>, vector binary" * carry
-    return vectors.mapInArrow(run, schema)
+    return vectors.mapInArrow(lean(run), schema)
 
 
 def _cap(ids, n, part, smaller, x, low: int, high: int, cosine: float):
@@ -183,7 +183,7 @@ def found_in_caps(vectors: DataFrame, codes: int, cosine: float = COSINE) -> Dat
         if len(held) > 1:
             yield batch_of(*out())
 
-    return rows.repartition(*key).sortWithinPartitions(*key).select(*key, "id", "n", "part", "smaller", "vector").mapInArrow(run, "a long, b long, n long")
+    return rows.repartition(*key).sortWithinPartitions(*key).select(*key, "id", "n", "part", "smaller", "vector").mapInArrow(lean(run), "a long, b long, n long")
 
 
 def embedding_dups(rows: DataFrame, cosine: float = COSINE, codes: int | None = None) -> DataFrame:
@@ -194,14 +194,15 @@ def embedding_dups(rows: DataFrame, cosine: float = COSINE, codes: int | None =
     good = F.coalesce(F.size("embedding") > 0, F.lit(False)) & ~F.exists("embedding", bad) & F.exists("embedding", lambda v: v != 0)
     own = own.withColumn("good", F.coalesce(good, F.lit(False)))
     grouped = own.where("good").groupBy("f1", "f2").agg(F.count("*").alias("n"), F.coalesce(F.min("vec_id"), F.lit(-(2**63)).cast("long")).alias("id"), F.min("embedding").alias("embedding"))
-    classes = written(grouped, "caps-classes")
-    count = classes.count()
-    codes = codes or max(LEAST_CODES, math.ceil((count / 4) ** (1 / BLOCKS)))
-    found = written(found_in_caps(classes.select("id", "n", "embedding"), codes, cosine), "caps-found")
-    sums = found.where("b is null").groupBy("a").agg(F.sum("n").alias("links"))
-    labels = components(found.where("b is not null").select("a", "b"))
-    named = classes.select("f1", "f2", "id", "n").join(sums.withColumnRenamed("a", "id"), "id", "left").join(labels, "id", "left")
-    named = written(named.select("f1", "f2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "id").alias("component")), "caps-named")
+    with Scratch(rows.sparkSession) as scratch:
+        classes = written(grouped, "caps-classes")
+        count = classes.count()
+        codes = codes or max(LEAST_CODES, math.ceil((count / 4) ** (1 / BLOCKS)))
+        found = written(found_in_caps(classes.select("id", "n", "embedding"), codes, cosine), "caps-found")
+        sums = found.where("b is null").groupBy("a").agg(F.sum("n").alias("links"))
+        labels = components(found.where("b is not null").select("a", "b"))
+        named = classes.select("f1", "f2", "id", "n").join(sums.withColumnRenamed("a", "id"), "id", "left").join(labels, "id", "left")
+        named = scratch.keep(written(named.select("f1", "f2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "id").alias("component")), "caps-named"))
     met = own.select("vec_id", "good", "f1", "f2").join(named, ["f1", "f2"], "left")
     component = F.when(F.col("vec_id").isNull(), F.lit(None)).when(F.col("good"), F.col("component")).otherwise(F.col("vec_id"))
     links = F.when(F.col("good"), F.col("links")).otherwise(F.lit(0)).cast("long")

@@ -36,13 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import Scratch, lean, slices, written
 from .components import components
 
 K = 32
 #: Classes of which the ids are broadcast at most (two longs each); beyond, the join is by shuffle.
 MOST_BROADCAST = 1_000_000
-HELD_WORDS = 300_000
+HELD_WORDS = 100_000
 #: Sizes of sets in one range differ by this factor at most.
 SIZE_STEP = 1.05
 FULL_KEY = ["value", "low", "high"]
@@ -97,7 +97,7 @@ def sketched(docs: DataFrame, size: int, k: int = K) -> DataFrame:
             both = np.frombuffer(b"".join(prints), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "n", "f1", "f2", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sketch array<long>")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n long, f1 long, f2 long, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -110,7 +110,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
             sets = [shingles(t, size).view(np.int64) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
-    return docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(run, "id long, set array<long>")
+    return docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(lean(run), "id long, set array<long>")
 
 
 def _ranked(postings: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int = K) ->
                 kept.append(int(np.count_nonzero(common <= union[-1])) >= need(len(union), percent))
             yield batch.select(names).filter(pa.array(kept, pa.bool_()))
 
-    return met.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+    return met.select("a", "b", "s_a", "s_b").mapInArrow(lean(run), "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -180,7 +180,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 kept.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(("a", "b")).filter(pa.array(kept, pa.bool_()))
 
-    return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return met.select("a", "b", "x", "y").mapInArrow(lean(run), "a long, b long")
 
 
 def _from_pivots(members: DataFrame, key: list[str]) -> DataFrame:
@@ -237,12 +237,14 @@ def link(docs: DataFrame, classes: DataFrame, size: int, percent: int, k: int =
 
 def near_dups(docs: DataFrame, size: int = 5, percent: int = 80, k: int = K) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
-    rows = written(sketched(docs, size, k), "near-rows")
-    full = rows.where("n > 0 and doc_id is not null")
-    grouped = full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("x"))
-    classes = written(grouped.select("f1", "f2", F.col("x.doc_id").alias("id"), F.col("x.n").alias("n"), F.col("x.sketch").alias("sketch")), "near-classes")
-    labels = link(docs, classes.select("id", "n", "sketch"), size, percent, k)
-    named = written(classes.select("f1", "f2", "id").join(labels, "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("class")), "near-named")
+    with Scratch(docs.sparkSession) as scratch:
+        rows = scratch.keep(written(sketched(docs, size, k), "near-rows"))
+        full = rows.where("n > 0 and doc_id is not null")
+        grouped = full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("x"))
+        classes = written(grouped.select("f1", "f2", F.col("x.doc_id").alias("id"), F.col("x.n").alias("n"), F.col("x.sketch").alias("sketch")), "near-classes")
+        labels = link(docs, classes.select("id", "n", "sketch"), size, percent, k)
+        named = classes.select("f1", "f2", "id").join(labels, "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("class"))
+        named = scratch.keep(written(named, "near-named"))
     met = rows.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2"], "left")
     component = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("class")).otherwise(F.col("doc_id"))
     return met.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -250,6 +252,7 @@ def near_dups(docs: DataFrame, size: int = 5, percent: int = 80, k: int = K) ->
 
 def keep(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The documents kept, with all their columns: of each component the one of smallest doc_id."""
-    gone = written(near_dups(docs, size, percent).where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "near-gone")
+    with Scratch(docs.sparkSession) as scratch:
+        gone = scratch.keep(written(near_dups(docs, size, percent).where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "near-gone"))
     small = gone.count() <= MOST_BROADCAST
     return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"] == gone["gone"], "left_anti")

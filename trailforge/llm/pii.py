@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch, written
 
 KINDS = ("email", "ip", "card", "phone")
 # The expressions of the four kinds.
@@ -139,13 +139,15 @@ def find(docs: DataFrame, text_too: bool = False) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if text_too else []))
     keyed = keyed.withColumn("text_hash", F.xxhash64("text")).withColumn("base", base_spans(F.col("text")))
-    base = written(keyed.select("doc_id", "text_hash", "base"), "pii-base") if not text_too else None
-    found = written(occurrences(keyed.select("doc_id", "text_hash", "text", "base")), "pii-occurrences")
-    patterns = confident_patterns(found)
-    shaped = (F.length(_digits(F.col("instance"))) >= MIN_DIGITS) | F.contains(F.col("instance"), F.lit("@"))
-    new = found.where(F.col("kind").isNull() & shaped).drop("kind").join(patterns, "pattern")
-    new = new.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", F.col("kind").cast("int").alias("kind"), "end")).alias("new"))
-    new = written(new, "pii-new").select(F.col("doc_id").alias("new_id"), F.col("text_hash").alias("new_hash"), "new")
+    with Scratch(docs.sparkSession) as scratch:
+        base = None if text_too else scratch.keep(written(keyed.select("doc_id", "text_hash", "base"), "pii-base"))
+        found = written(occurrences(keyed.select("doc_id", "text_hash", "text", "base")), "pii-occurrences")
+        patterns = confident_patterns(found)
+        shaped = (F.length(_digits(F.col("instance"))) >= MIN_DIGITS) | F.contains(F.col("instance"), F.lit("@"))
+        new = found.where(F.col("kind").isNull() & shaped).drop("kind").join(patterns, "pattern")
+        new = new.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", F.col("kind").cast("int").alias("kind"), "end")).alias("new"))
+        new = scratch.keep(written(new, "pii-new"))
+    new = new.select(F.col("doc_id").alias("new_id"), F.col("text_hash").alias("new_hash"), "new")
     rows = keyed if text_too else base
     met = rows.join(new, rows["doc_id"].eqNullSafe(new["new_id"]) & (rows["text_hash"] == new["new_hash"]), "left")
     spans = F.when(F.col("new").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", F.col("new").cast(SPAN))))

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, slices, written
+from .common import lean, new_path, slices, written
 
 FRAME_BYTES = 1 << 20
 LEAST = 100
@@ -143,7 +143,7 @@ def _writer(folder: str):
 
 def write(pages: DataFrame, folder: str, least: int = LEAST) -> DataFrame:
     """Write the bundles into folder (a URI that pyarrow's file systems know) and return the index, itself a written table."""
-    return written(typed(pages, least).sortWithinPartitions("page_id").mapInArrow(_writer(folder), INDEX), "warc-index")
+    return written(typed(pages, least).sortWithinPartitions("page_id").mapInArrow(lean(_writer(folder)), INDEX), "warc-index")
 
 
 def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -175,7 +175,7 @@ def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
             columns = zip(*out, strict=True) if out else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    return index.mapInArrow(fetch, RECORDS + (", payload binary" if payloads else ""))
+    return index.mapInArrow(lean(fetch), RECORDS + (", payload binary" if payloads else ""))
 
 
 def archive(pages: DataFrame, folder: str | None = None, least: int = LEAST) -> DataFrame:
