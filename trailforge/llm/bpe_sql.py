@@ -7,9 +7,8 @@ Texts are cut by the tokenizer's pattern; the distinct pieces that a worker has
   contracts it; pieces without a pair leave the recursion: the fixpoint.
 * decode: the tokens' rows join the vocabulary and an ordered aggregation puts the bytes together.
 
-A text's ids and decoded bytes are those of its pieces, one after the other. Results of pieces stay in two generations
-of a dictionary of HELD entries each (bounded memory; pieces in use survive) until the task ends, which changes nothing
-but the speed.
+A text's ids and decoded bytes are those of its pieces, one after the other. Results of pieces stay in two dictionaries of
+HELD entries at most, which changes nothing but the speed.
 Pieces longer than LONG bytes would make the set-wise steps quadratic; they contract the same pairs in the same order by
 a priority queue instead.
 
@@ -31,8 +30,8 @@ from pyspark.sql import DataFrame
 from .common import lean, slices
 
 LONG = 96
-HELD = 150_000
-CHUNK = 32_768
+HELD = 600_000
+CHUNK = 8_192
 
 #: A row has its token, the next token's place and the next token. Places are below 256, so that a pair (rank, its place,
 #: the next token's place) is one number.
@@ -157,56 +156,71 @@ class Merger:
 
 
 class Codec:
-    def __init__(self, path: str, pattern: str):
+    """Pieces with their ids in decimal and their decoded bytes. What is new waits in `young`; what is met again in a later
+    batch of texts is `proven` and outlives the task. Both are bounded."""
+
+    def __init__(self, path: str, pattern: str, held: int = HELD):
         import regex
 
+        self.most = held
         self.merger = Merger(read_ranks(path))
         self.find = regex.compile(pattern).findall
-        self.young: dict[str, tuple[str, bytes, bytes]] = {}
-        self.old: dict[str, tuple[str, bytes, bytes]] = {}
+        self.young: dict[str, tuple[str, bytes]] = {}
+        self.proven: dict[str, tuple[str, bytes]] = {}
 
     def forget(self) -> None:
-        """Give the memory of pieces and of DuckDB back; ranks and merges stay."""
-        self.young, self.old = {}, {}
+        """Give the memory of what is not proven, and of DuckDB, back; ranks and merges stay."""
+        self.young = {}
         self.merger.close()
 
-    def _learned(self, pieces: list[str]) -> Iterator[tuple[str, tuple[str, bytes, bytes]]]:
+    def _learned(self, pieces: list[str]) -> Iterator[tuple[str, tuple[str, bytes]]]:
         for at in range(0, len(pieces), CHUNK):
             part = pieces[at : at + CHUNK]
             for w, text, ids in self.merger.encode([p.encode() for p in part]):
-                yield part[w], (" ".join(map(str, ids)), np.array(ids, "<i4").tobytes(), bytes.fromhex(text))
+                yield part[w], (" ".join(map(str, ids)), bytes.fromhex(text))
 
-    def run(self, texts: list) -> Iterator[list[tuple[str, bytes, bytes]]]:
-        """For each text, (ids in decimal, ids as 4-byte integers, decoded bytes) of its pieces."""
+    def run(self, texts: list) -> Iterator[list[tuple[str, bytes]]]:
+        """For each text, (ids in decimal, decoded bytes) of its pieces."""
         cut = [self.find(t) if t else [] for t in texts]
         met: set[str] = set()
         for pieces in cut:
             met.update(pieces)
-        held = {p: x for p in met if (x := self.young.get(p) or self.old.get(p)) is not None}
-        held.update(self._learned([p for p in met if p not in held]))
-        self.young.update(held)
-        if len(self.young) > HELD:
-            self.old, self.young = self.young, {}
+        held, again = {}, {}
+        for p in met:
+            if (x := self.proven.get(p)) is not None:
+                held[p] = x
+            elif (x := self.young.get(p)) is not None:
+                again[p] = x
+        if len(self.proven) + len(again) > self.most:
+            self.proven = held.copy()
+        self.proven.update(again)
+        held.update(again)
+        new = dict(self._learned([p for p in met if p not in held]))
+        if len(self.young) + len(new) > self.most:
+            self.young = {}
+        self.young.update(new)
+        held.update(new)
         get = held.__getitem__
         for pieces in cut:
             yield list(map(get, pieces))
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
+_codecs: dict[tuple[str, str, int], Codec] = {}
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, held: int = HELD) -> Codec:
     """The worker's own codec; made once."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+    if (path, pattern, held) not in _codecs:
+        _codecs[path, pattern, held] = Codec(path, pattern, held)
+    return _codecs[path, pattern, held]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids (array<int>)."""
+def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True, held: int = HELD) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids (array<int>). held: pieces in memory at most,
+    about 0.3 KB each; fewer where workers also serve other stages, at the price of time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
+        own = codec(path, pattern, held)
         sha = lambda x: hashlib.sha256(x).hexdigest()
         try:
             yield from encoded(own, sha, batches)
@@ -217,12 +231,12 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> DataFr
         for batch, texts in slices(batches, most=2 << 20):
             n, first, second, all_ids = [], [], [], []
             for got in own.run(texts):
-                packed = b"".join([x[1] for x in got])
-                n.append(len(packed) // 4)
-                first.append(sha(" ".join([x[0] for x in got]).encode()))
-                second.append(sha(b"".join([x[2] for x in got])))
+                text = " ".join([x[0] for x in got])
+                n.append(text.count(" ") + 1 if text else 0)
+                first.append(sha(text.encode()))
+                second.append(sha(b"".join([x[1] for x in got])))
                 if ids:
-                    all_ids.append(np.frombuffer(packed, "<i4"))
+                    all_ids.append(np.fromiter(map(int, text.split()), np.int32))
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
