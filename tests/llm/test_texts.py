@@ -191,6 +191,25 @@ def test_patterns_find_unseen_identifiers(spark):
     assert all(rows[i].spans == "" for i in range(31, 61))
 
 
+def found_after(spark, texts):
+    """The texts in which spans were found that are no base entities."""
+    return {r.doc_id for r in pii.report(pii.find(docs(spark, texts))).collect() if r.spans and not r.n_email + r.n_ip + r.n_card + r.n_phone}
+
+
+@pytest.mark.parametrize("known, unseen", [(5, 1), (5, 5), (8, 1), (70, 30), (50, 50)])
+def test_patterns_of_mixed_contexts(spark, known, unseen):
+    texts = [f"Please call Desk: +1 (212) 555-0{i:03} soon" for i in range(known)] + [f"Please call Desk: 555 01{i:02} 7766 soon" for i in range(unseen)]
+    assert found_after(spark, texts) == set(range(known, known + unseen))
+
+
+def test_patterns_spread_but_not_to_numbers(spark):
+    local = [f"555 01{i:02} 7766" for i in range(8)]
+    texts = [f"my Desk: +1 (212) 555-0{i:03} x" for i in range(8)] + [f"my Desk: {x} y" for x in local] + [f"our Line: {x} y" for x in local] + ["our Line: 444 0133 7766 z"]
+    want = set(range(8, len(texts)))
+    texts += [f"the Order: +1 (212) 555-1{i:03} x" for i in range(8)] + [f"the Order: {10**7 + 37 * i} x" for i in range(72)] + ["few Room: +1 212 555 2000 x", "few Room: 333 0144 7766 x"]
+    assert found_after(spark, texts) == want
+
+
 def test_masking(spark):
     many = "x a@b.co " * 100
     out = {r.doc_id: r.text for r in pii.redact(docs(spark, [*TEXTS, many])).collect()}

@@ -8,10 +8,12 @@ matcher neither recurses nor scans a run twice; they match the same spans.
 Bootstrapping. Identifier-like strings (numbers with separators, tokens with a digit or an at sign) are candidate
 instances; the word before one if it ends like a label (: = #), else the two words before, with the kind of its seeds,
 are its lexical pattern. Pattern-instance edges are
-counted once each. In every round a pattern's confidence is the share of its instances that are known (seeds at first),
-given at least MIN_KNOWN distinct known ones; unknown instances in reach of confident patterns become known if one minus
-the product of the doubts reaches MIN_CONFIDENCE. After ROUNDS rounds, the occurrences of confident patterns that are
-shaped like an identifier (MIN_DIGITS digits or an at sign) and touch no base span become spans of the pattern's kind.
+counted once each. In every round a pattern with at least MIN_KNOWN distinct known instances (seeds at first) gets the
+confidence (known + PRIOR) / (known + 2 PRIOR + UNSEEN * unknown): unknown instances are what is looked for, so they
+hardly count against it, and do so only that a context of few identifiers among many numbers stays out. Unknown instances
+in reach of patterns that reach MIN_CONFIDENCE become known, each for one minus the product of its doubts. After ROUNDS
+rounds, the occurrences of confident patterns that are shaped like an identifier (MIN_DIGITS digits or an at sign) and
+touch no base span become spans of the pattern's kind.
 
 Patterns and instances are tables throughout: aggregates with partial sums over distinct edges, so that a common
 pattern is no hot task, and joins that Spark may split; nothing is collected.
@@ -40,6 +42,8 @@ CANDIDATE = r"(?<![A-Za-z0-9@._%+-])(?:[+(]?[0-9][\x20().0-9-]*[0-9](?![A-Za-z0-
 ROUNDS = 3
 MIN_KNOWN = 5
 MIN_CONFIDENCE = 0.9
+PRIOR = 0.25
+UNSEEN = 0.05
 MIN_DIGITS = 7
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -118,18 +122,19 @@ def confident_patterns(found: DataFrame, rounds: int = ROUNDS, min_known: int =
     """pattern, kind, confidence of the patterns that hold after the rounds. found: a written table of occurrences()."""
     shaped = (F.length(_digits(F.col("instance"))) >= MIN_DIGITS) | F.contains(F.col("instance"), F.lit("@"))
     edges = written(found.where(shaped | F.col("kind").isNotNull()).groupBy("pattern", "instance").agg(F.min("kind").alias("kind")), "pii-edges")
-    known = written(edges.where("kind is not null").groupBy("instance").agg(F.min("kind").alias("known")), "pii-known")
+    known = written(edges.where("kind is not null").groupBy("instance").agg(F.min("kind").alias("known"), F.lit(1.0).alias("sure")), "pii-known")
     patterns = None
     for _ in range(rounds):
         linked = edges.select("pattern", "instance").join(known, "instance", "left")
-        per_kind = linked.groupBy("pattern", "known").agg(F.count("*").alias("n"))
-        per_kind = per_kind.groupBy("pattern").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("known").isNotNull(), F.col("n"))).alias("hits"), F.max(F.when(F.col("known").isNotNull(), F.struct("n", (-F.col("known")).alias("first")))).alias("most"))
-        patterns = per_kind.where(F.col("hits") >= min_known).select("pattern", (-F.col("most.first")).alias("kind"), (F.col("hits") / F.col("all")).alias("confidence"))
+        per_kind = linked.groupBy("pattern", "known").agg(F.count("*").alias("n"), F.coalesce(F.sum("sure"), F.lit(0.0)).alias("sure"))
+        per_kind = per_kind.groupBy("pattern").agg(F.sum("n").alias("all"), F.sum("sure").alias("sure"), F.sum(F.when(F.col("known").isNotNull(), F.col("n"))).alias("hits"), F.max(F.when(F.col("known").isNotNull(), F.struct("n", (-F.col("known")).alias("first")))).alias("most"))
+        confidence = F.round((F.col("sure") + PRIOR) / (F.col("sure") + 2 * PRIOR + UNSEEN * (F.col("all") - F.col("sure"))), 9)
+        patterns = per_kind.where(F.col("hits") >= min_known).select("pattern", (-F.col("most.first")).alias("kind"), confidence.alias("confidence"))
         patterns = written(patterns.where(F.col("confidence") >= min_confidence), "pii-patterns")
         doubts = edges.select("pattern", "instance").join(known, "instance", "left_anti").join(patterns, "pattern")
         doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-3))))
         new = doubts.groupBy("instance").agg(F.max(F.struct("confidence", (-F.col("kind")).alias("k"))).alias("top"), doubt.alias("doubt"))
-        new = new.where(1 - F.exp("doubt") >= min_confidence).select("instance", (-F.col("top.k")).alias("known"))
+        new = new.select("instance", (-F.col("top.k")).alias("known"), F.round(1 - F.exp("doubt"), 9).alias("sure"))
         known = written(known.unionByName(new), "pii-known")
     return patterns
 
