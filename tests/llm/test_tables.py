@@ -129,6 +129,20 @@ def test_mixing(spark):
         assert sorted((r.doc_id, r.taken) for r in mixing.mix(d).collect()) == sorted((r.doc_id, r.taken) for r in rows)
 
 
+def test_mixing_of_small_sources_beside_a_hot_one(spark):
+    small = {f"s{k:02}": 10 + 13 * k for k in range(30)}
+    rows = [(i, "hot", "w " * 1000) for i in range(200)] + [(1000 * k + i, s, "w " * 10) for k, s in enumerate(small, 1) for i in range(small[s] // 10)]
+    d = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for slots in (16, 128):
+        found = mixing.mix(d, slots=slots).collect()
+        taken, target = collections.Counter(), {}
+        for r in found:
+            taken[r.source] += r.taken
+            target[r.source] = r.target
+            assert 0 <= r.taken <= 2 * r.size and (r.taken > 0) == (r.first_slot is not None)
+        assert all(abs(taken[s] - t) <= 0.5 for s, t in target.items())
+
+
 def test_mixing_edges(spark):
     assert mixing.mix(nothing(spark)).count() == 0
     d = docs(spark)

@@ -7,7 +7,9 @@
    source; the rank of a slot among the slots of its source is the block that it takes.
 3. Blocks. A source's documents are shuffled by a hash and laid on one line of words, cut into blocks of `block`
    words; after the last word the line starts again (a second epoch). Documents join the slots on (source, block);
-   the words of a document that lie in taken blocks are `taken`.
+   the words of a document that lie in taken blocks are `taken`. A source's last block ends at its target, rounded to
+   words (one word at least), and blocks that the schedule leaves out before it get slots of their own at its end: so
+   the words of a source come to its target, however few blocks these are.
 
 Prefix sums never gather a source in one task: documents are dealt to about sqrt(rows) hash buckets per source, only
 the buckets' sums are ordered per source, and documents are ordered inside their bucket. Slots are ranked alike, by
@@ -81,26 +83,37 @@ def schedule(aims: DataFrame, n_slots: int) -> DataFrame:
     return dealt.withColumn("inside", inside).join(chunks, ["sid", "chunk"]).select("sid", (F.col("before") + F.col("inside") - 1).alias("block"), "slot")
 
 
+def filled(plan: DataFrame, aims: DataFrame, n_slots: int, block: int) -> DataFrame:
+    """plan (of schedule(), written) with slots from n_slots on for the blocks below each source's goal that it lacks."""
+    got = plan.groupBy("sid").agg(F.count("*").alias("got"))
+    lacking = aims.join(got, "sid", "left").select("sid", F.coalesce("got", F.lit(0)).alias("got"), F.ceil(F.col("goal") / block).alias("needed")).where("needed > got")
+    more = lacking.select("sid", F.explode(F.sequence("got", F.col("needed") - 1)).alias("block"))
+    slot = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("block", "sid")) + F.lit(n_slots - 1).cast("long")
+    return plan.unionByName(more.withColumn("slot", slot))
+
+
 def mix(docs: DataFrame, *, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, slots: int = SLOTS, longest_block: int = LONGEST_BLOCK) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, first_slot (the earliest slot that takes words of it; null if none)."""
     base = written(sizes(docs), "mix-sizes")
     count, words = base.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    aims = written(targets(base, weights, share, cap), "mix-targets")
+    goal = F.least(F.greatest(F.round("target"), F.lit(1.0)), F.floor(F.col("source_size") * F.lit(float(cap)))).cast("long")
+    aims = written(targets(base, weights, share, cap).withColumn("goal", F.when(F.col("target") > 0, goal).otherwise(0)), "mix-targets")
     block = max(1, min(longest_block, math.ceil(share * words / slots)))
-    plan = schedule(aims, math.ceil(share * words / block))
+    n_slots = math.ceil(share * words / block)
+    plan = filled(written(schedule(aims, n_slots), "mix-plan"), aims, n_slots, block)
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, math.isqrt(count))))
     base = base.withColumn("bucket", bucket)
     buckets = base.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    buckets = buckets.join(aims, buckets["source"].eqNullSafe(aims["source"])).select(buckets["source"].alias("b_source"), F.col("bucket").alias("b_bucket"), "start", "sid", "source_size", "target")
+    buckets = buckets.join(aims, buckets["source"].eqNullSafe(aims["source"])).select(buckets["source"].alias("b_source"), F.col("bucket").alias("b_bucket"), "start", "sid", "source_size", "target", "goal")
     inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "size")
     laid = base.withColumn("no", F.row_number().over(inside)).withColumn("offset", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     laid = laid.join(buckets, laid["source"].eqNullSafe(buckets["b_source"]) & (laid["bucket"] == buckets["b_bucket"]))
     laid = laid.withColumn("offset", F.col("offset") + F.col("start"))
     epochs = F.sequence(F.lit(0), F.lit(math.ceil(cap) - 1))
     runs = laid.withColumn("epoch", F.explode(epochs)).withColumn("from", F.col("offset") + F.col("epoch") * F.col("source_size"))
-    runs = runs.withColumn("to", F.least(F.col("from") + F.col("size"), F.floor(F.col("source_size") * F.lit(float(cap)))))
+    runs = runs.withColumn("to", F.least(F.col("from") + F.col("size"), "goal"))
     numbers = F.when(F.col("to") > F.col("from"), F.sequence(F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block)))
     runs = runs.withColumn("block", F.explode_outer(numbers))
     met = runs.join(plan, ["sid", "block"], "left")
