@@ -94,6 +94,13 @@ def test_near_dups_edges(spark):
     assert kept.columns == d.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1]
 
 
+def test_near_dups_keep_one_of_repeated_rows(spark):
+    rows = [(None, "a b c d e f")] * 3 + [(None, "A  b c d e f "), (None, "q r s t u v"), (2, "h i j k l m"), (2, "h i j k l m"), (2, " H i j k l m"), (3, "h i j k l m"), (4, "v w x y z"), (None, None), (None, None), (5, ""), (5, "")]
+    kept = near_dups.keep(spark.createDataFrame([(*r, {"k": 1}) for r in rows], "doc_id long, text string, more map<string,int>"))
+    found = collections.Counter((r.doc_id, " ".join((r.text or "").lower().split())) for r in kept.collect())
+    assert found == {(None, "a b c d e f"): 1, (None, "q r s t u v"): 1, (2, "h i j k l m"): 1, (4, "v w x y z"): 1, (None, ""): 2, (5, ""): 2}
+
+
 def slow_targets(sizes, share=1.5, cap=2.0, weights=(5, 2, 1)):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     w = {s: weights[i % 3] for i, s in enumerate(names)}

@@ -36,13 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, lean, slices, written
+from .common import WORD, Scratch, lean, slices, written
 from .components import components
 
 K = 32
 #: Classes of which the ids are broadcast at most (two longs each); beyond, the join is by shuffle.
 MOST_BROADCAST = 1_000_000
 HELD_WORDS = 100_000
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Sizes of sets in one range differ by this factor at most.
 SIZE_STEP = 1.05
 FULL_KEY = ["value", "low", "high"]
@@ -251,8 +252,22 @@ def near_dups(docs: DataFrame, size: int = 5, percent: int = 80, k: int = K) ->
 
 
 def keep(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents kept, with all their columns: of each component the one of smallest doc_id."""
+    """The documents kept, with all their columns: of each component the one of smallest doc_id.
+
+    Of rows that share doc_id (or have none) and the words of their texts one is left, that of the smallest text. Rows
+    without a doc_id are linked with each other by that only, and with no row that has one; texts without a word stay."""
     with Scratch(docs.sparkSession) as scratch:
-        gone = scratch.keep(written(near_dups(docs, size, percent).where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "near-gone"))
-    small = gone.count() <= MOST_BROADCAST
-    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"] == gone["gone"], "left_anti")
+        found = written(near_dups(docs, size, percent), "near-found")
+        gone = scratch.keep(written(found.where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "near-gone"))
+        again = found.where("kept and n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+        again = scratch.keep(written(again.select(F.col("doc_id").alias("again"), F.lit(True).alias("repeated")), "near-again"))
+    few = lambda ids: F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    left = docs.join(few(gone), docs["doc_id"] == gone["gone"], "left_anti")
+    if again.isEmpty():
+        return left
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = left.join(few(again), left["doc_id"].eqNullSafe(again["again"]), "left")
+    marked = marked.select(row.alias("row"), (F.coalesce("repeated", F.lit(False)) & F.coalesce(F.col("text").rlike(WORD), F.lit(False))).alias("repeated"))
+    words = F.regexp_replace(F.translate("row.text", UPPER, UPPER.lower()), r"[\x20\x09-\x0D]+", " ")
+    one = marked.where("repeated").groupBy("row.doc_id", F.sha2(F.trim(words), 256).alias("words")).agg(F.min_by("row", "row.text").alias("row"))
+    return marked.where("not repeated").select("row.*").unionByName(one.select("row.*"))
