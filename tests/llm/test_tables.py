@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -193,12 +194,13 @@ def test_embeddings_by_brute_force(spark):
     rng.shuffle(order := list(range(len(rows))))
     rows = [(i, rows[k], 0, 1, "x") for i, k in enumerate(order)]
     want = slow_links(rows)
-    for split in (512, 16):
-        embedding_dups.SPLIT, held = split, embedding_dups.SPLIT
+    for parts in ((512, 4096, 512), (16, 16, 512), (40, 80, 7)):
+        held = embedding_dups.LEAST_PART, embedding_dups.MOST_PART, embedding_dups.TILE
+        embedding_dups.LEAST_PART, embedding_dups.MOST_PART, embedding_dups.TILE = parts
         try:
             found = {r.vec_id: r for r in embedding_dups.embedding_dups(vectors(spark, rows)).collect()}
         finally:
-            embedding_dups.SPLIT = held
+            embedding_dups.LEAST_PART, embedding_dups.MOST_PART, embedding_dups.TILE = held
         assert len(found) == len(rows) and all(r.n_links <= want[i][0] for i, r in found.items())
         links = sum(n for n, _ in want.values())
         assert sum(r.n_links for r in found.values()) >= 0.98 * links
@@ -212,6 +214,38 @@ def test_embeddings_edges(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in found} == {3: (2, 3), 7: (2, 3), 9: (2, 3)}
 
 
+@pytest.mark.parametrize("dim", [64, 384])
+@pytest.mark.parametrize("codes", [16, 71, 126])
+def test_caps_meet_at_the_limit_whatever_the_codes(dim, codes):
+    """Pairs at cosine exactly 0.95 share a cap; 126 codes are those of a billion vectors."""
+    rng = np.random.default_rng(codes)
+    x = rng.normal(size=(300, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=(300, dim))
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.95 * x + math.sqrt(1 - 0.95**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    met = [bool(np.intersect1d(a, b).size) for a, b in zip(embedding_dups.decode(x, codes), embedding_dups.decode(y, codes), strict=True)]
+    assert np.mean(met) >= 0.98
+
+
+def test_all_exceeding_directions_are_decoded():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(5, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turn, blocks = embedding_dups.code(24, 5)
+    y = x @ turn
+    inner = [y[:, 6 * i : 6 * i + 6] @ b.T for i, b in enumerate(blocks)]
+    for n, found in enumerate(embedding_dups.decode(x, 5)):
+        every = (inner[0][n][:, None, None, None] + inner[1][n][:, None, None] + inner[2][n][:, None] + inner[3][n]).ravel()
+        assert found.tolist() == np.flatnonzero(every >= every.max() - embedding_dups.margin(24)).tolist()
+
+
+def test_repeated_and_null_vec_ids(spark):
+    v, w = [1.0] * 8, [1.0] * 7 + [-1.0]
+    found = embedding_dups.embedding_dups(vectors(spark, [(5, v, 0, 1, "x"), (5, v, 0, 1, "x"), (None, v, 0, 1, "x"), (8, w, 0, 1, "x")])).collect()
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0) for r in found) == [(0, 2, 0), (5, 2, 5), (5, 2, 5), (8, 0, 8)]
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, n long, digest string, first long")
 
