@@ -1,23 +1,30 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree of elements and, in page order, a list of text blocks (runs of text between the borders of block
-elements). Paragraph blocks pass points to their ancestors: one, plus one for each comma, plus one for each hundred
-characters up to three; the parent gets them whole, the grandparent half, further ancestors a third over their distance.
-An element starts with a few points by its tag; its sum is discounted by its link density. The best container and those
-of its siblings that score well, read like prose or are headings make up the text.
+elements). Paragraph blocks pass points up the tree: one, plus one for each comma, plus one for each hundred characters up
+to three; their parent gets them whole, each further ancestor half of what the one below it got. An element starts with a
+few points by its tag; its sum is discounted by its link density. The best container is kept whole. Beside the way
+from it to the root, siblings of it and of its ancestors are kept if they are no lists of links; outside the article or main
+element around it, if there is one, they must be articles or headings, read like prose or score a fifth of the best.
 
-Menus, headers, footers, sidebars, forms, scripts, styles and the like go with their whole subtree, by tag; notices,
-adverts, reader comments and so on go by the words in class, id and role. A subtree named so by class alone that holds
-more than half of the page's text is no such thing and stays. Inside an article, a header keeps its headings.
+Page furniture takes no part. Scripts, styles, menus, footers, hidden elements and the like go by tag. Headers, sidebars,
+forms, notices, adverts, reader comments and so on go by tag or by their class, id or role: a whole name that says so, a
+compound of such names and of words of place, or one that ends in an unambiguous one; `share-price`, `notice-board`,
+`post-header` or `ad-free` say nothing. Where no prose is left beside those, what lies in the fewest of them stands, so that
+a page inside a form isn't empty. Inside an article, a header keeps its headings.
 
-Nothing else is dropped or capped; the cost is linear in the length of the page. Defined cases: null or empty html has
-the text ''; unclosed and misnested tags close as their block ends; a page without tags is one block.
+Nothing else is dropped or capped. Sums go once over the tree and places of open tags are kept in lists, so the cost is
+linear in the length of the page, depth included (unclosed quotes in many tags apart). Defined cases: null or empty html has the
+text ''; unclosed and misnested tags close as their block ends; a page without tags is one block; repeated rows and null
+ids are rows as others; an empty table gives an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,27 +37,48 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-GONE = frozenset("nav footer aside form head menu button select option input svg canvas object embed audio video math map dialog label fieldset".split()) | RAW
-NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disclaimer disqus footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notification overlay pager pagination popup promo promoted promotion related recommended remark reply respond share sharing shoutbox sidebar signup skip social sponsor sponsored sponsors subscribe subscription toolbar widget alert navigation search complementary contentinfo".split())
+GONE = frozenset("nav footer head menu button select option input svg canvas object embed audio video math map".split()) | RAW
+ASIDE = frozenset("aside form header dialog label fieldset".split())
+NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disclaimer disqus footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notification overlay pager pagination popup promo promoted promotion related recommended remark reply respond share sharing shoutbox sidebar signup skip social sponsor sponsored sponsors subscribe subscription toolbar widget alert search complementary contentinfo".split())
+ENDS = frozenset("ad ads advert adverts advertisement breadcrumb breadcrumbs comments commentlist cookies footer menu nav navbar navigation newsletter pagination popup sidebar signup sponsors toolbar".split())
+PLACES = frozenset("site page top bottom left right primary secondary global user reader container wrapper wrap box area section list block slot unit bar links buttons button icons inner outer item items body text content thread policy posts stories articles media form row col column panel group holder zone region placeholder google js mobile desktop sticky fixed small large".split())
+DENIED = frozenset("no non not free without has with".split())
 KEEP = frozenset("html body article main".split())
 START = {"article": 25, "main": 15, "div": 5, "section": 5, "pre": 3, "td": 3, "blockquote": 3, "ol": -3, "ul": -3, "dl": -3, "dd": -3, "dt": -3, "li": -3, "address": -3, "th": -5}
 PARAGRAPHS = frozenset("p pre td blockquote div section article main body li dd center".split())
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
+HOLDS_P = ("td", "th", "li", "div", "section", "article", "blockquote")
+
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[A-Za-z][^>]*>""", re.S)
 NAMED = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 PARTS = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
+RAW_ENDS = {tag: re.compile(rf"</{tag}[^>]*>?", re.I) for tag in RAW}
+PROSE = 25
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "gone", "named", "score", "text", "link", "inside", "depth")
+    """An element. aside: how many elements of furniture it lies in, itself included; gone: it never counts."""
+
+    __slots__ = ("tag", "parent", "gone", "aside", "header", "inside", "score", "text", "link", "kept")
+
+    def __init__(self, tag: str, parent: Node | None, gone: bool = False, named: bool = False):
+        self.tag, self.parent, self.gone = tag, parent, gone
+        up_aside, up_header, up_inside = (parent.aside, parent.header, parent.inside) if parent is not None else (0, 0, False)
+        headline = tag in HEADINGS and up_inside
+        self.aside = up_aside + (named and tag not in KEEP or tag in ASIDE) - (up_header if headline else 0)
+        self.header = 0 if headline else up_header + (tag == "header" and up_inside)
+        self.inside = up_inside or tag in ("article", "main")
+        self.score, self.text, self.link, self.kept = float(START.get(tag, 0)), 0, 0, False
 
-    def __init__(self, tag: str, parent: Node | None, gone: bool, named: Node | None):
-        self.tag, self.parent, self.gone, self.named = tag, parent, gone, named
-        self.score, self.text, self.link = float(START.get(tag, 0)), 0, 0
-        self.inside = tag in ("article", "main") or parent is not None and parent.inside
-        self.depth = 0 if parent is None else parent.depth + 1
+
+def _names_furniture(name: str) -> bool:
+    """Whether one class, id or role names page furniture."""
+    parts = [x.lower() for x in PARTS.split(name) if x]
+    if not parts or not DENIED.isdisjoint(parts):
+        return False
+    return parts[-1] in ENDS or not NAMES.isdisjoint(parts) and all(x in NAMES or x in PLACES for x in parts)
 
 
 def _furniture(attributes: str) -> tuple[bool, bool]:
@@ -61,172 +89,173 @@ def _furniture(attributes: str) -> tuple[bool, bool]:
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and UNSEEN.search(value):
             return True, named
         if key in ("class", "id", "role"):
-            named = named or not NAMES.isdisjoint(x.lower() for x in PARTS.split(value))
+            named = named or any(map(_names_furniture, value.split()))
     return False, named
 
 
+class _Stack:
+    """The open elements, with the places of each tag and of block elements among them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places, self.blocks, self.links = [root], defaultdict(list), [0], 0
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.nodes))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+        self.links += node.tag == "a"
+
+    def leave(self, to: int) -> None:
+        """Close all from place `to` on."""
+        while len(self.nodes) > to:
+            tag = self.nodes.pop().tag
+            self.places[tag].pop()
+            self.links -= tag == "a"
+        while self.blocks[-1] >= to:
+            self.blocks.pop()
+
+    def last(self, tags) -> int:
+        """The place of the innermost open element of these tags; 0 if none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def owner(self) -> Node:
+        return self.nodes[self.blocks[-1]]
+
+
 def _parse(page: str) -> tuple[list[tuple[Node, str, int]], list[Node]]:
-    """Blocks (owner, text, characters in links) in page order, and all nodes."""
-    root = Node("#root", None, False, None)
-    nodes, blocks, stack = [root], [], [root]
-    open_tags: dict[str, int] = {}
+    """Blocks (owner, text, characters in links) in page order, and all nodes, parents first."""
+    root = Node("#root", None)
+    nodes, blocks, stack = [root], [], _Stack(root)
     pieces: list[str] = []
-    link_pieces = links = 0
-    owner = root
+    link_pieces = 0
 
     def flush():
         nonlocal pieces, link_pieces
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                blocks.append((owner, text, min(link_pieces, len(text))))
+                blocks.append((stack.owner(), text, min(link_pieces, len(text))))
             pieces, link_pieces = [], 0
 
-    def leave(to: int):
-        nonlocal links
-        while len(stack) > to:
-            tag = stack.pop().tag
-            open_tags[tag] -= 1
-            links -= tag == "a"
-
-    at, lower = 0, None
-    end = len(page)
+    at, end = 0, len(page)
     while at < end:
         m = TAG.search(page, at)
         raw = page[at : m.start()] if m else page[at:]
-        if raw and not stack[-1].gone:
+        if raw and not stack.nodes[-1].gone:
             piece = html.unescape(raw) if "&" in raw else raw
             pieces.append(piece)
-            link_pieces += len(piece.strip()) if links else 0
+            link_pieces += len(piece.strip()) if stack.links else 0
         if not m:
             break
         at = m.end()
         if m[2] is None:
-            if m[0].startswith("<![CDATA[") and not stack[-1].gone:
+            if m[0].startswith("<![CDATA[") and not stack.nodes[-1].gone:
                 pieces.append(m[0][9:].removesuffix("]]>"))
             continue
         tag = m[2].lower()
         block = tag in BLOCK
         if m[1]:
-            if open_tags.get(tag):
+            if stack.places.get(tag):
+                k = stack.places[tag][-1]
                 if block:
                     flush()
-                k = len(stack) - 1
-                while stack[k].tag != tag:
-                    k -= 1
-                if block or not any(x.tag in BLOCK for x in stack[k + 1 :]):
-                    leave(k)
-                    owner = next((x for x in reversed(stack) if x.tag in BLOCK), root)
+                if block or stack.blocks[-1] < k:
+                    stack.leave(k)
             elif tag == "p":
                 flush()
             continue
         if tag in VOID:
             if tag == "hr":
                 flush()
-            elif not stack[-1].gone:
+            elif not stack.nodes[-1].gone:
                 pieces.append(" " if tag in ("br", "img", "input") else "")
             continue
         if block:
             flush()
-            if open_tags.get("p") and tag != "p" or tag == "p" and open_tags.get("p"):
-                k = len(stack) - 1
-                while stack[k].tag != "p" and stack[k].tag not in ("td", "th", "li", "div", "section", "article", "blockquote"):
-                    k -= 1
-                if stack[k].tag == "p":
-                    leave(k)
+            if (k := stack.last(("p",))) > stack.last(HOLDS_P):
+                stack.leave(k)
         if tag in CLOSES:
             own, limits = CLOSES[tag]
-            k, found = len(stack) - 1, None
-            while k > 0 and stack[k].tag not in limits:
-                if stack[k].tag in own:
-                    found = k
-                k -= 1
+            limit = stack.last(limits)
+            found = [p[k] for t in own if (p := stack.places.get(t)) and (k := bisect_right(p, limit)) < len(p)]
             if found:
-                leave(found)
+                stack.leave(min(found))
         hidden, named = _furniture(m[3]) if m[3] else (False, False)
-        up = stack[-1]
-        gone = up.gone or tag in GONE or hidden
-        if tag == "header" or named and tag in KEEP:
-            named = tag == "header"
-        node = Node(tag, up, gone, None)
-        node.named = up.named or (node if named else None)
-        if tag in HEADINGS and up.named is not None and up.named.tag == "header" and up.named.inside:
-            node.named = None
+        up = stack.nodes[-1]
+        node = Node(tag, up, up.gone or tag in GONE or hidden, named)
         nodes.append(node)
         if tag in RAW:
-            lower = page.lower() if lower is None else lower
-            close = lower.find("</" + tag, at) if len(lower) == end else page.find("</" + tag, at)
-            if close < 0:
+            close = RAW_ENDS[tag].search(page, at)
+            if close is None:
                 break
-            close = page.find(">", close)
-            at = end if close < 0 else close + 1
+            at = close.end()
             continue
-        stack.append(node)
-        open_tags[tag] = open_tags.get(tag, 0) + 1
-        links += tag == "a"
-        if block:
-            owner = node
+        stack.push(node)
     flush()
     return blocks, nodes
 
 
-def _up(node: Node | None) -> Iterator[Node]:
-    while node is not None:
-        yield node
-        node = node.parent
+def _prose(text: str, link: int) -> bool:
+    return len(text) >= PROSE and 3 * link < len(text)
+
+
+def _points(blocks: list[tuple[Node, str, int]], nodes: list[Node]) -> None:
+    """Sums of text, links and points of all nodes, in one pass from the leaves."""
+    given = dict.fromkeys(map(id, nodes), 0.0)
+    for owner, text, link in blocks:
+        owner.text += len(text)
+        owner.link += link
+        if owner.tag in PARAGRAPHS:
+            to = owner.parent if owner.tag in ("p", "pre", "blockquote", "li", "dd") and owner.parent is not None else owner
+            given[id(to)] += 1 + text.count(",") + min(len(text) // 100, 3)
+    for node in reversed(nodes):
+        node.score += given[id(node)]
+        if (up := node.parent) is not None:
+            up.text += node.text
+            up.link += node.link
+            given[id(up)] += given[id(node)] / 2
 
 
 def main_text(page: str | None) -> str:
     """The article of a page, one block a line."""
     if not page:
         return ""
-    blocks, _ = _parse(page)
-    total = sum(len(t) for _, t, _ in blocks)
-    held: dict[Node, int] = {}
-    for owner, text, _ in blocks:
-        if owner.named is not None:
-            held[owner.named] = held.get(owner.named, 0) + len(text)
-    blocks = [b for b in blocks if b[0].named is None or b[0].named.tag != "header" and 2 * held[b[0].named] > total]
+    blocks, nodes = _parse(page)
+    level = min((o.aside for o, text, link in blocks if o.tag not in HEADINGS and _prose(text, link)), default=0)
+    blocks = [b for b in blocks if b[0].aside <= level]
     if not blocks:
         return ""
-    for owner, text, link in blocks:
-        paragraph = owner.tag in PARAGRAPHS
-        points = 1 + text.count(",") + min(len(text) // 100, 3)
-        parent = owner.parent if owner.tag in ("p", "pre", "blockquote", "li", "dd") and owner.parent is not None else owner
-        step = 0
-        for node in _up(owner):
-            node.text += len(text)
-            node.link += link
-        if paragraph:
-            for step, node in enumerate(_up(parent)):
-                node.score += points if step == 0 else points / 2 if step == 1 else points / (3 * step)
-    candidates = {id(n): n for owner, _, _ in blocks for n in _up(owner) if n.tag in PARAGRAPHS and n.tag not in ("p", "li")}
-    rated = [(n.score * (1 - n.link / max(1, n.text)), -i, n) for i, n in enumerate(candidates.values())]
-    best = max(rated)[2] if rated else blocks[0][0].parent or blocks[0][0]
-    top = next((n for n in _up(best) if n.tag == "article"), best)
-    mark = max(10.0, 0.2 * top.score)
-    if top.tag == "article" or top.tag == "main" or top.parent is None:
-        kept = {top}
-    else:
-        kept = {top}
-        around: dict[Node, list] = {}
-        for owner, text, link in blocks:
-            chain = list(_up(owner))
-            if top.parent in chain and top not in chain:
-                k = chain.index(top.parent)
-                if k:
-                    around.setdefault(chain[k - 1], []).append((text, link))
-                elif owner is top.parent and link * 4 < len(text):
-                    around.setdefault(owner, []).append((text, link))
-        for node, texts in around.items():
-            size, link = sum(len(t) for t, _ in texts), sum(x for _, x in texts)
-            if node is top.parent:
-                continue
-            density = link / max(1, size)
-            prose = node.tag in ("p", "pre", "blockquote", "ul", "ol", "table") and (density < 0.25 if size > 80 else link == 0)
-            if node.score * (1 - density) >= mark or prose or node.tag in HEADINGS and density < 0.3:
-                kept.add(node)
-    return "\n".join(text for owner, text, _ in blocks if not kept.isdisjoint(_up(owner)))
+    _points(blocks, nodes)
+    density = lambda n: n.link / max(1, n.text)
+    worth = lambda n: n.score * (1 - density(n))
+    candidates = [n for n in nodes if n.text and n.tag in PARAGRAPHS and n.tag not in ("p", "li")]
+    best = max(candidates, key=worth, default=nodes[0])  # of equal ones the first, which is the outermost
+    way, around = set(), None
+    node = best
+    while node is not None:
+        way.add(node)
+        if node.tag == "article" or node.tag == "main" and around is None:
+            around = node if around is None or around.tag == "main" else around
+        node = node.parent
+    within = set()  # on the way, from the article or main element down; without one the whole way
+    node = best
+    while node is not None:
+        within.add(node)
+        node = None if node is around else node.parent
+
+    def joins(n: Node) -> bool:
+        """Whether a sibling of the way is kept."""
+        if n.parent in within or density(n) >= 1 / 3:
+            return density(n) < 1 / 3
+        if n.tag in HEADINGS or n.tag == "article":
+            return True
+        return n.text > 80 and (n.tag in ("p", "pre", "blockquote") or worth(n) >= 0.2 * worth(best))
+
+    for n in nodes:
+        n.kept = n is best or n.parent is not None and (n.parent.kept or n.text > 0 and n not in way and n.parent in way and joins(n))
+    loose = lambda n, text, link: n in way and 4 * link < len(text) and (n in within or len(text) > 80)
+    return "\n".join(text for owner, text, link in blocks if owner.kept or loose(owner, text, link))
 
 
 def extract(pages: DataFrame) -> DataFrame:
