@@ -4,10 +4,13 @@ import hashlib
 import json
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from trailforge.llm import bpe_sql, html_text, language_id, pii, quality, token_counts
 from trailforge.llm.common import table
@@ -54,6 +57,46 @@ def test_bpe_forgets_nothing_that_matters():
         assert [b"".join(x[1] for x in got).decode() for got in own.run(texts)] == texts
 
 
+def test_long_pieces_stay_in_duckdb(tmp_path, monkeypatch):
+    import string
+
+    import tiktoken
+
+    monkeypatch.chdir(tmp_path)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_sql.read_ranks(RANKS), special_tokens={})
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(string.ascii_letters) for _ in range(20_000)), "x" * 200_000, "ab" * 50_000 + "é" * 999]
+    for text, got in zip(texts, bpe_sql.Codec(RANKS, public_tokenizers.PATTERN).run(texts), strict=True):
+        assert " ".join(x[0] for x in got) == " ".join(map(str, own.encode_ordinary(text)))
+        assert b"".join(x[1] for x in got).decode() == text
+    assert not list(tmp_path.iterdir())
+
+
+@given(st.lists(st.text("abéth e" + "x", min_size=2, max_size=120), min_size=1, max_size=20))
+def test_both_ways_to_contract_agree(texts):
+    global _merger
+    _merger = globals().get("_merger") or bpe_sql.Merger(bpe_sql.read_ranks(RANKS))
+    found = []
+    for short in (bpe_sql.SHORT, 0):
+        bpe_sql.SHORT, held = short, bpe_sql.SHORT
+        try:
+            found.append(sorted(zip(*_merger.encode([t.encode() for t in texts]), strict=True)))
+        finally:
+            bpe_sql.SHORT = held
+    assert found[0] == found[1]
+
+
+def test_repeated_rows_and_null_ids(spark):
+    """Rows that are there twice or have no id are rows as others, for all operators on single texts."""
+    text = "Repeated words here, and mail a.b@example.com. " * 12
+    rows = spark.createDataFrame([(1, text, "en", "s"), (1, text, "en", "s"), (None, text, "en", None), (None, None, None, None)], "doc_id long, text string, lang string, source string")
+    for found in (bpe_sql.encode(rows, RANKS, public_tokenizers.PATTERN, ids=False), token_counts.count_tokens(rows, JSON), quality.judge(rows, None), pii.report(pii.find(rows)), language_id.predict(rows, language_id.train(rows.select("text", "lang")))):
+        got = [tuple(r) for r in found.collect()]
+        ids = sorted([g[0] for g in got], key=str)
+        assert ids == [1, 1, None, None]
+        assert len({g[1:] for g in got}) == 2 and sum(g == got[0] for g in got) <= 2
+
+
 # Token counts
 
 
@@ -242,6 +285,56 @@ def test_small_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+PROSE = "Some prose with a comma, and more words in it to be long enough"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<main><div class="ad-free article"><p>{PROSE} 1</p></div><div class="notice-board"><p>{PROSE} 2</p></div></main>', f"{PROSE} 1\n{PROSE} 2"),
+    (f'<article><p>{PROSE} 1</p><p class="share-price">short</p><p>{PROSE} 2</p></article>', f"{PROSE} 1\nshort\n{PROSE} 2"),
+    ("<div><p>one</p></div><div><p>two</p></div>", "one\ntwo"),
+    (f"<p>short</p><div><div><p>{PROSE} 1</p></div><div><p>{PROSE} 2</p></div></div>", f"short\n{PROSE} 1\n{PROSE} 2"),
+    (f"<main><h1>Head</h1><article><p>{PROSE} 1</p></article><article><p>{PROSE} 2</p></article></main>", f"Head\n{PROSE} 1\n{PROSE} 2"),
+    (f'<form><nav><a href=1>menu</a></nav><p>{PROSE}</p></form>', PROSE),
+    (f'<div class="post-comments"><p>{PROSE}</p><p>{PROSE}</p></div><div>loose {PROSE}<p>{PROSE} 2</p></div><div class="site-header">S</div>', f"loose {PROSE}\n{PROSE} 2"),
+    (f'<article><div class="post-header"><p>{PROSE} 1</p></div><p>{PROSE} 2</p></article><div class="teaser"><p>See also</p></div>', f"{PROSE} 1\n{PROSE} 2"),
+    (f'<div class="has-sidebar"><div>{PROSE} 1<br>{PROSE} 2</div><div class="sidebar-left">{PROSE}</div><div><a href=1>{PROSE}</a></div></div>', f"{PROSE} 1 {PROSE} 2"),
+])
+def test_no_prose_is_lost(page, text):
+    assert html_text.main_text(page) == text
+
+
+@given(st.recursive(st.text("ab", min_size=30, max_size=60).map(lambda t: f" {t},  {t} "), lambda x: st.lists(x, min_size=1, max_size=4), max_leaves=12), st.lists(st.sampled_from(["nav", "footer", "aside", "script", "div class='ad-slot'", "section id=comments"]), min_size=12, max_size=12))
+def test_generated_pages_against_their_plan(tree, junk):
+    """Paragraphs at any depth, with furniture among them: the text is all paragraphs, in order."""
+    want, rest = [], list(junk)
+
+    def page(x):
+        if isinstance(x, str):
+            want.append(" ".join(x.split()))
+            return f"<p>{x}</p>"
+        bad = rest.pop() if rest else "nav"
+        return f"<div><{bad}><p>junk, {'y' * 90}</p></{bad.split()[0]}>" + "".join(map(page, x)) + "</div>"
+
+    html = f"<body>{page(tree)}</body>"
+    assert html_text.main_text(html) == "\n".join(want)
+
+
+def test_pages_cost_is_linear():
+    """Depth times blocks would be 10^8 steps here."""
+    began = time.process_time()
+    html_text.main_text("<div>" * 10_000 + "<p>deep, text</p>" * 10_000)
+    html_text.main_text("<ul>" + "<div>" * 10_000 + "<li>deep, text" * 10_000 + "<b>" * 10_000 + "</i></b>" * 10_000)
+    assert time.process_time() - began < 10
+
+
+def test_pages_edges(spark):
+    rows = [(1, None, None, 1, "x"), (None, "u", "<p>a</p>", 2, "x"), (3, "u", "<p>a</p>", 2, "x"), (3, "u", "<p>a</p>", 2, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars long, text string")
+    found = [tuple(r) for r in html_text.extract(pages).collect()]
+    assert sorted(found, key=str) == sorted([(1, None, "", 0), (None, "u", "a", 1), (3, "u", "a", 1), (3, "u", "a", 1)], key=str)
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
 def test_pages_of_the_table(spark):
     import html
 

@@ -4,15 +4,20 @@ Texts are cut by the tokenizer's pattern; the distinct pieces that a worker has
 
 * encode: a piece is a list of rows (w, pos, tok), each with its next token's place and id. Each step of a recursive
   query joins them with the merge table, finds for every piece its leftmost pair of minimum rank and
-  contracts it; pieces without a pair leave the recursion: the fixpoint.
+  contracts it; pieces without a pair leave the recursion: the fixpoint. A recursive query keeps the rows of all its steps, so it
+  ends after STEPS steps (fewer where rows are many) and the pieces that still have pairs start the next one.
 * decode: the tokens' rows join the vocabulary and an ordered aggregation puts the bytes together.
 
+Chunks of pieces are bounded by number and bytes; a piece that exceeds them is a chunk of its own. Chunks of short pieces contract one pair of a
+piece per step. Chunks with a piece over SHORT bytes contract all occurrences of a piece's minimum pair per step, every second one of
+those that overlap, from the left: the same contractions in the same order, in far fewer steps. A merge whose result is
+part of a pair of lower rank could change that order, so of such a merge only the leftmost occurrence is contracted.
+DuckDB has no folder to spill to; its memory is bounded, and grows only with a single piece of half a megabyte and more.
+
 A text's ids and decoded bytes are those of its pieces, one after the other. Results of pieces stay in two dictionaries of
 HELD entries at most, which changes nothing but the speed.
-Pieces longer than LONG bytes would make the set-wise steps quadratic; they contract the same pairs in the same order by
-a priority queue instead.
 
-Defined cases: null text is empty (0 tokens; digests of the empty string); repeated rows are encoded alike; an empty
+Defined cases: null text is empty (0 tokens; digests of the empty string); repeated rows and null ids are encoded alike; an empty
 table gives an empty result. Only doc_id and text are read, so other columns may have any name.
 """
 
@@ -20,7 +25,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,35 +33,64 @@ from pyspark.sql import DataFrame
 
 from .common import lean, slices
 
-LONG = 96
 HELD = 600_000
 CHUNK = 8_192
-
-#: A row has its token, the next token's place and the next token. Places are below 256, so that a pair (rank, its place,
-#: the next token's place) is one number.
-ENCODE = """
-with recursive s(w, pos, tok, nx, nt, step) as (
-  select w, pos, tok, nx, nt, 0 from pieces
-  union all (
+CHUNK_BYTES = 1 << 17
+SHORT = 96
+STEPS = 16
+#: Rows that a recursive query may keep, all steps together.
+KEPT_ROWS = 1 << 21
+MEMORY_MB = 300
+
+#: A row has its token, the next token's place and the next token. Places are below 2^22 here, so that a pair (rank, its
+#: place, the next token's place) is one number.
+ONE_PAIR = """
     with best as (
-      select w, min((m.id::bigint << 16) | (pos << 8) | nx) as pair
-      from s join merges m on m.l = s.tok and m.r = s.nt group by w),
+      select w, min((m.id::bigint << 44) | (pos::bigint << 22) | nx) as pair
+      from s join merges m on m.l = s.tok and m.r = s.nt where s.step < {steps} group by w),
     met as (
-      select b.w, (b.pair >> 16)::int as id, ((b.pair >> 8) & 255)::int as here, (b.pair & 255)::int as gone, r.nx, r.nt
-      from best b join s r on r.w = b.w and r.pos = (b.pair & 255))
+      select b.w, (b.pair >> 44)::int as id, ((b.pair >> 22) & 4194303)::int as here, (b.pair & 4194303)::int as gone, r.nx, r.nt
+      from best b join s r on r.w = b.w and r.pos = (b.pair & 4194303))
     select s.w, s.pos,
       case when s.pos = met.here then met.id else s.tok end,
       case when s.pos = met.here then met.nx else s.nx end,
       case when s.pos = met.here then met.nt when s.nx = met.here then met.id else s.nt end,
       s.step + 1
-    from s join met on met.w = s.w where s.pos <> met.gone)
+    from s join met on met.w = s.w where s.pos <> met.gone
+"""
+
+#: All occurrences of a piece's minimum pair: run numbers them, `head` is the number at which a run of overlapping ones
+#: begins, pair keeps every second of these.
+ALL_PAIRS = """
+    with hit as (
+      select s.w, s.pos, s.nx, m.id, m.alone from s join merges m on m.l = s.tok and m.r = s.nt where s.step < {steps}),
+    best as (select w, min(id) as id from hit group by w),
+    run as (
+      select h.*, row_number() over o as n, lag(h.nx) over o is distinct from h.pos as first
+      from hit h join best b on b.w = h.w and b.id = h.id window o as (partition by h.w order by h.pos)),
+    pair as (
+      select w, pos, nx, id from (select *, max(case when first then n end) over (partition by w order by pos) as head from run)
+      where (n - head) % 2 = 0 and (n = 1 or not alone)),
+    met as (select p.w, p.pos, p.id, p.nx as gone, r.nx, r.nt from pair p join s r on r.w = p.w and r.pos = p.nx)
+    select s.w, s.pos, coalesce(a.id, s.tok), coalesce(a.nx, s.nx), coalesce(b.id, a.nt, s.nt), s.step + 1
+    from s join best on best.w = s.w
+      left join met a on a.w = s.w and a.pos = s.pos
+      left join met b on b.w = s.w and b.pos = coalesce(a.nx, s.nx)
+      anti join met g on g.w = s.w and g.gone = s.pos
+"""
+
+ENCODE = """
+create or replace temp table last as
+with recursive s(w, pos, tok, nx, nt, step) as (
+  select w, pos, tok, nx, nt, 0 from pieces
+  union all ({step})
 )
-select s.w, s.pos, s.tok from s join (select w, max(step) as step from s group by w) e on e.w = s.w and e.step = s.step
+select s.* from s join (select w, max(step) as step from s group by w) e on e.w = s.w and e.step = s.step
 """
 
 DECODE = """
-select t.w, string_agg(v.hex, '' order by t.pos) as hex, list(t.tok order by t.pos) as ids
-from ({}) t join vocabulary v on v.id = t.tok group by t.w
+select t.w, string_agg(v.hex, '' order by t.pos) as hex, string_agg(t.tok::varchar, ' ' order by t.pos) as ids
+from tokens t join vocabulary v on v.id = t.tok group by t.w
 """
 
 
@@ -77,10 +110,14 @@ class Merger:
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), whole.append(i)
-        self.merges = pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "id": pa.array(whole, pa.int32())})
+        l, r, i = (np.array(x, np.int32) for x in (left, right, whole))
+        lowest = np.full(max(ranks.values()) + 1, np.iinfo(np.int32).max, np.int32)  # rank of a pair with this token in it
+        np.minimum.at(lowest, l, i)
+        np.minimum.at(lowest, r, i)
+        self.merges = pa.table({"l": l, "r": r, "id": i, "alone": lowest[i] < i})
         self.vocabulary = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])})
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = self.pairs = None
+        self.con = None
 
     def open(self) -> None:
         """A connection with the two tables; close() gives DuckDB's memory back."""
@@ -89,7 +126,8 @@ class Merger:
         if self.con is None:
             self.con = duckdb.connect()
             self.con.execute("set threads = 1")
-            self.con.execute("set memory_limit = '300MB'")
+            self.con.execute(f"set memory_limit = '{MEMORY_MB}MB'")
+            self.con.execute("set temp_directory = ''")
             for name in ("merges", "vocabulary"):
                 self.con.register("given", getattr(self, name))
                 self.con.execute(f"create table {name} as select * from given")
@@ -98,61 +136,59 @@ class Merger:
     def close(self) -> None:
         if self.con is not None:
             self.con.close()
-        self.con = self.pairs = None
-
-    def contract(self, piece: bytes) -> list[int]:
-        """The same contraction by a priority queue, for long pieces."""
-        if self.pairs is None:
-            columns = (self.merges.column(c).to_pylist() for c in ("l", "r", "id"))
-            self.pairs = {(a, b): i for a, b, i in zip(*columns, strict=True)}
-        tokens = [int(self.byte_ids[b]) for b in piece]
-        n = len(tokens)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(r, i) for i in range(n - 1) if (r := self.pairs.get((tokens[i], tokens[i + 1]))) is not None]
-        heapq.heapify(queue)
-        while queue:
-            rank, i = heapq.heappop(queue)
-            if tokens[i] < 0 or (j := after[i]) >= n or self.pairs.get((tokens[i], tokens[j])) != rank:
-                continue
-            tokens[i], tokens[j] = rank, -1
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (r := self.pairs.get((rank, tokens[after[i]]))) is not None:
-                    heapq.heappush(queue, (r, i))
-            if (k := before[i]) >= 0 and (r := self.pairs.get((tokens[k], rank))) is not None:
-                heapq.heappush(queue, (r, k))
-        return [t for t in tokens if t >= 0]
-
-    def encode(self, pieces: list[bytes]) -> list[tuple[int, str, list[int]]]:
-        """For each piece, in any order: its number, its decoded bytes in hex, and its ids in order."""
+        self.con = None
+
+    def encode(self, pieces: list[bytes]) -> tuple[list[int], list[str], list[str]]:
+        """For each piece, in any order: its number, its decoded bytes in hex, and its ids in decimal, in order."""
         whole = [self.ranks.get(p) for p in pieces]
-        long = {w: self.contract(p) for w, p in enumerate(pieces) if whole[w] is None and len(p) > LONG}
-        short = [w for w, r in enumerate(whole) if r is None and w not in long]
-        raw = np.frombuffer(b"".join([pieces[w] for w in short]), np.uint8)
-        done = [(w, i, t) for w, ids in long.items() for i, t in enumerate(ids)] + [(w, 0, r) for w, r in enumerate(whole) if r is not None]
-        sizes = np.array([len(pieces[w]) for w in short], np.int64)
-        pos = (np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+        rest = [w for w, r in enumerate(whole) if r is None]
+        done = [w for w, r in enumerate(whole) if r is not None]
         self.open()
-        found = []
-        if short:
+        self.con.register("known", pa.table({"w": pa.array(done, pa.int32()), "pos": pa.array([0] * len(done), pa.int32()), "tok": pa.array([whole[w] for w in done], pa.int32())}))
+        self.con.execute("create or replace temp table tokens as select * from known")
+        self.con.unregister("known")
+        raw = np.frombuffer(b"".join([pieces[w] for w in rest]), np.uint8)
+        sizes = np.array([len(pieces[w]) for w in rest], np.int64)
+        if len(raw):
+            longest = int(sizes.max())
+            pos = (np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
             tok = self.byte_ids[raw]
             follows = np.append(tok[1:], np.int32(-1))
             follows[np.cumsum(sizes) - 1] = -1  # no merge has it
-            self.con.register("pieces", pa.table({"w": np.repeat(np.array(short, np.int32), sizes), "pos": pos, "tok": tok, "nx": pos + np.int32(1), "nt": follows}))
-            found = self.con.execute(DECODE.format(ENCODE)).fetchall()
-            self.con.unregister("pieces")
-        if done:
-            found += self.decode(pa.table({c: pa.array([r[i] for r in done], pa.int32()) for i, c in enumerate(("w", "pos", "tok"))}))
-        return found
-
-    def decode(self, tokens: pa.Table) -> list[tuple[int, str, list[int]]]:
-        """For each w of rows (w, pos, tok): w, the decoded bytes in hex, and the ids in order."""
+            live = pa.table({"w": np.repeat(np.array(rest, np.int32), sizes), "pos": pos, "tok": tok, "nx": pos + np.int32(1), "nt": follows})
+            self.con.execute(f"set memory_limit = '{max(MEMORY_MB, longest * 600 // 1_000_000)}MB'")
+            while live.num_rows:
+                steps = max(1, min(STEPS, KEPT_ROWS // live.num_rows))
+                self.con.register("pieces", live)
+                self.con.execute(ENCODE.format(step=(ONE_PAIR if longest <= SHORT else ALL_PAIRS).format(steps=steps)))
+                self.con.unregister("pieces")
+                self.con.execute(f"insert into tokens select w, pos, tok from last where step < {steps}")
+                live = self.con.sql(f"select w, pos, tok, nx, nt from last where step = {steps}").to_arrow_table()
+        return self._decoded()
+
+    def _decoded(self) -> tuple[list[int], list[str], list[str]]:
+        found = self.con.sql(DECODE).to_arrow_table()
+        return tuple(found.column(c).to_pylist() for c in ("w", "hex", "ids"))
+
+    def decode(self, tokens: pa.Table) -> tuple[list[int], list[str], list[str]]:
+        """For each w of rows (w, pos, tok): w, the decoded bytes in hex, and the ids in decimal, in order."""
         self.open()
-        self.con.register("tokens", tokens)
-        found = self.con.execute(DECODE.format("select * from tokens")).fetchall()
-        self.con.unregister("tokens")
-        return found
+        self.con.register("given", tokens)
+        self.con.execute("create or replace temp table tokens as select * from given")
+        self.con.unregister("given")
+        return self._decoded()
+
+
+def chunks(pieces: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Borders of chunks of CHUNK pieces and CHUNK_BYTES bytes at most, or one piece."""
+    start = held = 0
+    for i, p in enumerate(pieces):
+        if i > start and (i - start == CHUNK or held + len(p) > CHUNK_BYTES):
+            yield start, i
+            start, held = i, 0
+        held += len(p)
+    if pieces:
+        yield start, len(pieces)
 
 
 class Codec:
@@ -174,10 +210,11 @@ class Codec:
         self.merger.close()
 
     def _learned(self, pieces: list[str]) -> Iterator[tuple[str, tuple[str, bytes]]]:
-        for at in range(0, len(pieces), CHUNK):
-            part = pieces[at : at + CHUNK]
-            for w, text, ids in self.merger.encode([p.encode() for p in part]):
-                yield part[w], (" ".join(map(str, ids)), bytes.fromhex(text))
+        pieces = sorted(pieces, key=len)  # long ones don't hold short ones up
+        raw = [p.encode() for p in pieces]
+        for start, end in chunks(raw):
+            for w, text, ids in zip(*self.merger.encode(raw[start:end]), strict=True):
+                yield pieces[start + w], (ids, bytes.fromhex(text))
 
     def run(self, texts: list) -> Iterator[list[tuple[str, bytes]]]:
         """For each text, (ids in decimal, decoded bytes) of its pieces."""
@@ -266,7 +303,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             w = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
             pos = (np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
             texts = [""] * len(sizes)
-            for at, text, _ in own.decode(pa.table({"w": w, "pos": pos, "tok": tok})):
+            for at, text, _ in zip(*own.decode(pa.table({"w": w, "pos": pos, "tok": tok})), strict=True):
                 texts[at] = bytes.fromhex(text).decode("utf-8", "replace")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
