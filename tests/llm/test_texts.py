@@ -112,6 +112,39 @@ def test_counts_are_the_library_s(spark):
     assert token_counts.count_tokens(nothing(spark), JSON).count() == 0
 
 
+def test_texts_without_a_space():
+    """Chunks of fixed length: neither spaces nor full stops are needed to cut a text."""
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(JSON), token_counts.Counter(JSON)
+    rng = random.Random(7)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    texts = ["x" * 1_000_001, "ab" * 300_000, draw("日本語文字列漢字仮名交", 60_000), draw("abcde", 200_000), draw("ACGT", 50_000), "'s" * 5_000, draw("\n\t ", 20_000), "é" * 40_000, "<|endoftext|>" * 500]
+    assert own.count([t.encode() for t in texts]).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+@pytest.mark.parametrize("back, widened", [(0, 0), (0, 3), (3, 1)])
+def test_scan_is_exact_whatever_states_are_guessed(monkeypatch, back, widened):
+    monkeypatch.setattr(token_counts, "CHUNK", 7)
+    monkeypatch.setattr(token_counts, "BACK", back)
+    monkeypatch.setattr(token_counts, "WIDENED", widened)
+    texts = [t.encode() for t in fuzz(40) + ["a" * 300, "hello there " * 9]]
+    found = token_counts.Counter(JSON).count(texts)
+    monkeypatch.undo()
+    assert (found == token_counts.Counter(JSON).count(texts)).all()
+
+
+def test_long_counts_take_seconds():
+    """10 MB of letters without a space, in little time."""
+    own = token_counts.Counter(JSON)
+    rng = random.Random(3)
+    text = "".join(rng.choice("abcdefgh") for _ in range(1 << 20)).encode() * 10
+    own.count([text[: 1 << 20]])  # the machine learns
+    began = time.process_time()
+    own.count([text])
+    assert time.process_time() - began < 30
+
+
 def test_small_machine_starts_anew(monkeypatch):
     monkeypatch.setattr(token_counts, "CELLS", 20_000)
     monkeypatch.setattr(token_counts, "ROOM", 20)
@@ -138,6 +171,44 @@ def test_stats_by_brute_force():
         assert quality.stats(t)[:5] == slow_stats(t)
 
 
+def test_stats_of_a_long_text_in_parts(monkeypatch):
+    text = "one two three four " * 400 + "x " + "\n\nline\n" * 50
+    whole = quality.stats(text)
+    monkeypatch.setattr(quality, "PART", 37)
+    assert quality.stats(text) == whole == (*slow_stats(text), *whole[5:])
+
+
+def test_path_lengths_by_brute_force():
+    """Every path is walked node by node; leaves add the expected path among their rows."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 4))
+    forest = quality.Forest(trees=20, sample=64).fit(x)
+
+    def path(nodes, row):
+        at = 0
+        while nodes[at][0] >= 0:
+            at = int(nodes[at][2] if row[int(nodes[at][0])] < nodes[at][1] else nodes[at][3])
+        return nodes[at][1]
+
+    want = [2 ** (-np.mean([path(nodes, row) for nodes in forest.nodes]) / forest.norm) for row in x]
+    assert np.allclose(forest.score(x), want)
+    harmonic = lambda n: sum(1 / k for k in range(1, n + 1))
+    assert abs(float(quality.expected_path(64)) - (2 * harmonic(63) - 2 * 63 / 64)) < 0.02
+
+
+def test_verdicts_are_rules_and_threshold(spark):
+    sf = "/root/testdata/sf0.001"
+    found = table(spark, sf, "documents")
+    forest = quality.fit(found, table(spark, sf, "labels"))
+    texts = {r.doc_id: r.text for r in found.collect()}
+    for r in quality.judge(found, forest).collect():
+        n, chars, symbols, dup, repeat = slow_stats(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, dup, repeat)
+        failed = n < 50 or 100 * repeat > 50 * n
+        score = float(forest.score(quality.features(np.array([quality.stats(texts[r.doc_id])])))[0])
+        assert (r.base_failed, r.kept) == (failed, not failed and score < forest.threshold) and abs(score - r.score) < 1e-9
+
+
 def test_forest_finds_strays():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(0, 0.1, (500, 3)), rng.normal(3, 0.1, (20, 3))])

@@ -14,13 +14,15 @@ still settles.
 States and transitions are interned on first use (at most CELLS cells; then the machine starts anew, which only costs
 time), so the table stays small though the whole product would be huge.
 
-Texts are cut into chunks of about CHUNK bytes at synchronising points: a space after an ASCII letter, digit or full
-stop ends the piece before it in every state. The state map of such a chunk is constant (start state, count), maps
-compose by addition, and a text's count is the segmented prefix sum over its chunks. All chunks of a batch run in step,
-one table look-up per byte each; a chunk without such a point is just longer. Special tokens in a text cut it, and
-count one each.
-
-Defined cases: null text is empty (0 bytes, 0 tokens); repeated rows count alike; an empty table gives an empty
+Texts are cut into chunks of CHUNK bytes (whole characters; special tokens in a text cut it too, and count one each). A chunk's
+map takes each live start state to (end state, count). Which states are live is found by running the BACK bytes before the
+chunk, from a space after an ASCII letter, digit or full stop if there is one, since that ends the piece before it in every state.
+All pairs of a chunk and a start state run in step, one table look-up per byte each, equal chunks once. The maps then compose
+by a parallel prefix scan, in which each round doubles the number of chunks that a map spans. Where a chunk's map lacks the state that the
+one before it ends in, that state becomes live too and the scan is done again: in the first WIDENED rounds for all chunks
+at once, later only where a text's own path breaks off, so that the result is exact and the work stays linear.
+
+Defined cases: null text is empty (0 bytes, 0 tokens); repeated rows and null ids count alike; an empty table gives an empty
 result. Only doc_id and text are read, so other columns may have any name.
 """
 
@@ -38,6 +40,8 @@ from pyspark.sql import DataFrame
 from .common import lean, slices
 
 CHUNK = 512
+BACK = 64
+WIDENED = 12
 CELLS = 30_000_000
 PAIRS = 200_000
 #: New states that one step of all chunks may make: one per chunk, of which a batch has this many at most.
@@ -46,7 +50,7 @@ LIMIT = 1024
 # Code points of white space, and the endings that the pattern splits off after an apostrophe.
 SPACES = frozenset([9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
-SYNC = re.compile(rb"(?<=[A-Za-z0-9.]) ")
+ENDS_PIECE = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789.")
 
 
 class Merges:
@@ -210,13 +214,13 @@ class Machine:
 
     def learn(self, state: int, byte: int) -> None:
         key, change = self.byte(self.keys[state], byte)
-        if not -128 <= change < 128:
+        if not -512 <= change < 512:
             raise OverflowError("a transition changes the count too much")
         to = self.state(key)
-        self.table[state, self.columns[byte]] = to << 8 | change + 128
+        self.table[state, self.columns[byte]] = to << 10 | change + 512
 
-    def run(self, chunks: list[bytes]) -> np.ndarray:
-        """Counts of whole chunks, all in step."""
+    def run(self, chunks: list[bytes], starts: list[tuple]) -> tuple[list[tuple], np.ndarray]:
+        """State and count at the end of each chunk, all in step, from the states given."""
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         order = np.argsort(-sizes, kind="stable")
         sizes = sizes[order]
@@ -224,12 +228,14 @@ class Machine:
         new = (np.bincount(raw, minlength=256) > 0) & ~self.seen
         self.columns[new] = self.seen.sum() + np.arange(new.sum())
         self.seen |= new
-        if self.seen.sum() > self.table.shape[1]:
+        if self.seen.sum() > self.table.shape[1] or len(self.keys) + 2 * ROOM > len(self.table):
             self.reset()
         symbols = self.columns[raw]
         at = np.cumsum(sizes) - sizes
-        state, count = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
-        live = len(sizes)
+        state = np.fromiter((self.state(starts[i]) for i in order), np.int64, len(chunks))
+        count = np.zeros(len(chunks), np.int64)
+        ends: list = [None] * len(chunks)
+        live = known = len(sizes)  # lanes from `known` on have their end state named
         for t in range(int(sizes[0]) if len(sizes) else 0):
             while sizes[live - 1] <= t:
                 live -= 1
@@ -241,49 +247,123 @@ class Machine:
                 for c, i in zip(*np.unique(cell[miss], return_index=True), strict=True):
                     self.learn(int(c) // self.table.shape[1], int(raw[here[miss[i]]]))
                 got = self.table.ravel().take(cell)
-            state[:live] = got >> 8
-            count[:live] += (got & 255) - 128
+            state[:live] = got >> 10
+            count[:live] += (got & 1023) - 512
             if len(self.keys) + ROOM > len(self.table):
+                ends[live:known] = [self.keys[s] for s in state[live:known]]
+                known = live
                 keys = [self.keys[s] for s in state[:live]]
-                done = np.array(self.final, np.int64)[state[live:]]
-                count[live:] += done
                 self.reset()
                 state[:live] = [self.state(k) for k in keys]
-                state[live:] = 0
-        count += np.array(self.final, np.int64)[state]
-        out = np.empty(len(chunks), np.int64)
-        out[order] = count
-        return out
+        ends[:known] = [self.keys[s] for s in state[:known]]
+        out, counts = [None] * len(chunks), np.empty(len(chunks), np.int64)
+        counts[order] = count
+        for i, k in enumerate(order):
+            out[k] = ends[i]
+        return out, counts
+
+
+def cut(part: bytes) -> list[int]:
+    """Borders of chunks of CHUNK bytes, moved back to the start of a character."""
+    borders = [0]
+    for at in range(CHUNK, len(part), CHUNK):
+        while part[at] & 0xC0 == 0x80:
+            at -= 1
+        borders.append(at)
+    return [*borders, len(part)]
+
+
+def window(part: bytes, at: int) -> bytes:
+    """What is run to guess the state at a border: the bytes since the last space that surely begins a piece, BACK at most."""
+    low = max(0, at - BACK)
+    k = part.rfind(b" ", low, at)
+    while k > low and part[k - 1] not in ENDS_PIECE:
+        k = part.rfind(b" ", low, k)
+    if k > low:
+        return part[k:at]
+    while low and part[low] & 0xC0 == 0x80:
+        low -= 1
+    return part[low:at]
 
 
 class Counter:
+    BEGIN = ("B", None, b"")
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             self.merges = Merges(json.load(f))
         self.machine = Machine(self.merges)
         self.special = re.compile(b"|".join(map(re.escape, self.merges.special))) if self.merges.special else None
 
+    def _run(self, chunks: list[bytes], starts: list[tuple]) -> tuple[list[tuple], np.ndarray]:
+        ends, counts = [], [np.zeros(0, np.int64)]
+        for i in range(0, len(chunks), ROOM):
+            e, c = self.machine.run(chunks[i : i + ROOM], starts[i : i + ROOM])
+            ends += e
+            counts.append(c)
+        return ends, np.concatenate(counts)
+
     def count(self, texts: list[bytes]) -> np.ndarray:
         """Tokens of each text."""
-        chunks: list[bytes] = []
-        owner: list[int] = []
-        extra = np.zeros(len(texts), np.int64)
+        out = np.zeros(len(texts), np.int64)
+        chunks: list[bytes] = []  # of all parts, one after the other
+        windows: list[bytes] = []
+        first: list[int] = []  # a part's first chunk
+        owner: list[int] = []  # a part's text
         for i, text in enumerate(texts):
             parts = self.special.split(text) if self.special else [text]
-            extra[i] = len(parts) - 1
-            for part in parts:
-                start = 0
-                while len(part) - start > CHUNK and (m := SYNC.search(part, start + CHUNK)):
-                    chunks.append(part[start : m.start()])
-                    owner.append(i)
-                    start = m.start()
-                if start < len(part):
-                    chunks.append(part[start:])
-                    owner.append(i)
-        maps = np.concatenate([np.zeros(0, np.int64), *(self.machine.run(chunks[i : i + ROOM]) for i in range(0, len(chunks), ROOM))])
-        scanned = np.concatenate([[0], np.cumsum(maps)])
-        ends = np.searchsorted(np.array(owner, np.int64), np.arange(len(texts) + 1))
-        return scanned[ends[1:]] - scanned[ends[:-1]] + extra
+            out[i] = len(parts) - 1
+            for part in filter(None, parts):
+                borders = cut(part)
+                first.append(len(chunks))
+                owner.append(i)
+                chunks += [part[a:b] for a, b in zip(borders, borders[1:], strict=False)]
+                windows += [b""] + [window(part, at) for at in borders[1:-1]]
+        if not chunks:
+            return out
+        last = np.zeros(len(chunks), bool)
+        last[np.array([*first[1:], len(chunks)]) - 1] = True
+        content: dict[bytes, int] = {}
+        same = np.fromiter((content.setdefault(c, len(content)) for c in chunks), np.int64, len(chunks))
+        distinct = list(content)
+        names: dict[tuple, int] = {}
+        name = lambda key: names.setdefault(key, len(names))
+        guessed, _ = self._run(windows, [self.BEGIN] * len(windows))
+        nodes = {(k, name(key)) for k, key in enumerate(guessed)}  # a chunk and one of its live states
+        lanes: dict[tuple[int, int], int] = {}  # distinct chunk and start state
+        ends, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        rounds = 0
+        while True:
+            missing = list(dict.fromkeys(x for k, s in nodes if (x := (int(same[k]), s)) not in lanes))
+            lanes.update(zip(missing, range(len(lanes), len(lanes) + len(missing)), strict=True))
+            keys = list(names)
+            e, c = self._run([distinct[x] for x, _ in missing], [keys[s] for _, s in missing])
+            ends, counts = np.append(ends, [name(x) for x in e]).astype(np.int64), np.append(counts, c)
+            at = np.array(sorted(nodes), np.int64)
+            lane = np.fromiter((lanes[int(same[k]), s] for k, s in at.tolist()), np.int64, len(at))
+            tail, total = last[at[:, 0]], counts[lane].copy()
+            wide = len(names) + 1
+            index = at[:, 0] * wide + at[:, 1]
+            want = (at[:, 0] + 1) * wide + ends[lane]
+            to = np.minimum(np.searchsorted(index, want), len(at) - 1)
+            open_ = ~tail & (index[to] != want)
+            to = np.where(tail | open_, len(at), to)  # the next map, or none
+            stop = np.arange(len(at))  # the last chunk that a map spans
+            while len(on := np.flatnonzero(to < len(at))):  # the scan: a map and the one that follows it become one
+                next_ = to[on]
+                total[on], stop[on], to[on] = total[on] + total[next_], stop[next_], to[next_]
+            roots = np.searchsorted(index, np.array([f * wide + names[self.BEGIN] for f in first]))
+            stops = stop[roots]
+            broken = stops[~tail[stops]]
+            if not len(broken):
+                break
+            rounds += 1
+            grown = np.flatnonzero(open_) if rounds <= WIDENED else np.unique(broken)
+            nodes.update(zip((at[grown, 0] + 1).tolist(), ends[lane[grown]].tolist(), strict=True))
+        keys = list(names)
+        closing = [self.machine.end(keys[int(ends[lane[s]])]) for s in stops]
+        np.add.at(out, np.array(owner), total[roots] + np.array(closing, np.int64))
+        return out
 
 
 _counters: dict[str, Counter] = {}
