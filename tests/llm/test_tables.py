@@ -266,6 +266,55 @@ def test_warc_round_trip(spark):
     assert warc.archive(pages(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_revisits_by_either_join(spark, few, monkeypatch):
+    monkeypatch.setattr(warc, "FEW", few)
+    rows = [(i, "u", f"{i % 7}" * (99 + i % 7), 1, "d", 2) for i in range(60)]
+    found = {r.page_id: (r.record_type, r.refers_to) for r in warc.archive(pages(spark, rows)).collect()}
+    assert found == {i: ("response", None) if i % 7 == 0 or i < 7 else ("revisit", i % 7) for i in range(60)}
+
+
+def test_each_thread_has_its_own_scratch(spark):
+    import threading
+
+    from trailforge.llm.common import Scratch, written
+
+    inside, over = threading.Event(), threading.Event()
+    counts = []
+
+    def other():
+        with Scratch(spark):
+            inside.set()
+            over.wait(60)
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    assert inside.wait(60)
+    with Scratch(spark) as scratch:
+        kept = scratch.keep(written(spark.range(3), "mine"))
+        gone = written(spark.range(4), "gone")
+        counts.append(gone.count())
+    over.set()
+    thread.join()
+    assert counts == [4] and kept.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|PATH_NOT_FOUND|does not exist"):
+        gone.count()
+
+
+def test_release_leaves_nothing(spark, tmp_path):
+    import pathlib
+
+    import corpus_pipeline
+    from trailforge.llm.common import own_folder, release
+
+    corpus_pipeline.run(spark, SF).write.parquet(str(tmp_path / "out"))
+    folder = pathlib.Path(own_folder(spark).removeprefix("file://").removeprefix("file:"))
+    names = {p.name.rsplit("-", 1)[0] for p in folder.iterdir()}
+    assert not names & {"pipeline-quality", "pipeline-near_dups", "pipeline-pii", "pii-spans", "near-rows"}  # intermediate tables go at once
+    release(spark)
+    assert not folder.exists() and spark.read.parquet(str(tmp_path / "out")).count() > 0
+
+
 def test_bundles_are_plain_zstandard(spark, tmp_path):
     import zstandard
 

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import lean, slices
+from .common import in_arrow, slices
 
 HELD = 600_000
 CHUNK = 8_192
@@ -282,7 +282,7 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True, held: int
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return docs.select("doc_id", "text").mapInArrow(lean(run), schema)
+    return in_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -307,4 +307,4 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                 texts[at] = bytes.fromhex(text).decode("utf-8", "replace")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(lean(run), "doc_id long, text string")
+    return in_arrow(encoded.select("doc_id", "ids"), run, "doc_id long, text string")

@@ -8,6 +8,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute
@@ -33,34 +34,58 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def own_folder(spark: SparkSession) -> str:
+    """Where this application's tables are. The folder goes with the application's end, or by release()."""
+    folder = f"{shared_dir(spark)}/trailforge/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return folder
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/trailforge/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{own_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables that this application has written and that lazy results may read: for use once results are written."""
+    delete(spark, own_folder(spark))
+
+
+_open: ContextVar[tuple[Scratch, ...]] = ContextVar("open scratches", default=())
 
 
 class Scratch:
     """Collects the tables that written() makes while it is open, and deletes them when it closes, but for those kept.
 
-    A table that a lazy result still reads must be kept."""
-
-    open: list[Scratch] = []
+    Each thread has its own open scratches. A table that a lazy result still reads must be kept; it then belongs to the outer
+    scratch or, without one, to the application (own_folder())."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
     def __enter__(self) -> Scratch:
-        Scratch.open.append(self)
+        self.token = _open.set((*_open.get(), self))
         return self
 
     def keep(self, frame: DataFrame) -> DataFrame:
-        """frame, as written() gave it, outlives this scratch (and becomes the outer one's, if there is one)."""
+        """frame, as written() gave it, outlives this scratch."""
         kept = [p for p in self.paths if p[0] is frame]
         self.paths = [p for p in self.paths if p[0] is not frame]
-        for outer in Scratch.open[-2:-1]:
+        for outer in _open.get()[-2:-1]:
             outer.paths += kept
         return frame
 
+    def drop(self, frame: DataFrame) -> None:
+        """Delete frame, as written() gave it, now."""
+        for _, path in [p for p in self.paths if p[0] is frame]:
+            delete(self.spark, path)
+        self.paths = [p for p in self.paths if p[0] is not frame]
+
     def __exit__(self, *_) -> None:
-        Scratch.open.remove(self)
+        _open.reset(self.token)
         for _, path in self.paths:
             delete(self.spark, path)
 
@@ -76,7 +101,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
-    for scratch in Scratch.open[-1:]:
+    for scratch in _open.get()[-1:]:
         scratch.paths.append((found, path))
     return found
 
@@ -111,6 +136,12 @@ def lean(run):
     return task
 
 
+def in_arrow(rows: DataFrame, run, schema: str) -> DataFrame:
+    """rows.mapInArrow(run), with the package sent to the workers and their memory given back."""
+    ship(rows.sparkSession)
+    return rows.mapInArrow(lean(run), schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Cut Arrow batches so that each holds about `most` bytes of text, or one row if that alone is longer."""
     for batch in batches:

@@ -35,7 +35,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, lean, written
+from .common import Scratch, in_arrow, written
 from .components import components
 
 COSINE = 0.95
@@ -136,7 +136,7 @@ def filtered(vectors: DataFrame, codes: int, carry: bool, cosine: float = COSINE
                     yield pa.RecordBatch.from_pydict(columns)
 
     schema = "dim int, filter long, id long" + ", n long, smaller binary, vector binary" * carry
-    return vectors.mapInArrow(lean(run), schema)
+    return in_arrow(vectors, run, schema)
 
 
 def _tile(x, n, smaller, rows: np.ndarray, columns: np.ndarray, cosine: float):
@@ -239,7 +239,7 @@ def found_in_caps(vectors: DataFrame, codes: int, cosine: float = COSINE) -> Dat
         if len(held) > 1:
             yield batch_of(*out())
 
-    return rows.repartition(*key).sortWithinPartitions(*key).select(*key, "id", "n", "part", "smaller", "vector").mapInArrow(lean(run), "a long, b long, n long")
+    return in_arrow(rows.repartition(*key).sortWithinPartitions(*key).select(*key, "id", "n", "part", "smaller", "vector"), run, "a long, b long, n long")
 
 
 def embedding_dups(rows: DataFrame, cosine: float = COSINE, codes: int | None = None) -> DataFrame:

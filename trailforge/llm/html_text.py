@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import lean, slices
+from .common import in_arrow, slices
 
 # HTML element names by the part that they play, and words that name page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -266,4 +266,4 @@ def extract(pages: DataFrame) -> DataFrame:
             found = [main_text(t) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(lean(run), "page_id long, url string, text string, n_chars long")
+    return in_arrow(pages.select("page_id", "url", "html"), run, "page_id long, url string, text string, n_chars long")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, lean, slices, written
+from .common import Scratch, in_arrow, slices, written
 
 SLOTS = 1 << 20
 HASHES = 2
@@ -94,7 +94,7 @@ def counts(docs: DataFrame) -> DataFrame:
             yield out(lang)
 
     rows = docs.where("text is not null and lang is not null").select("text", "lang")
-    return rows.mapInArrow(lean(run), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return in_arrow(rows, run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -151,7 +151,7 @@ def _train(docs: DataFrame, slots: int, min_share: float, close: float) -> Model
                 for p in positions(grams, slots):
                     yield pa.RecordBatch.from_arrays([pa.array(p), pa.array((k // 64).astype(np.int32)), pa.array(bit)], names=["at", "word", "bits"])
 
-        sets = chosen.mapInArrow(lean(run), "at long, word int, bits long").groupBy("at", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        sets = in_arrow(chosen, run, "at long, word int, bits long").groupBy("at", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
         at, word, bits = (sets.column(c).to_numpy() for c in ("at", "word", "bits"))
         masks[at, word] = bits.astype(np.int64).view(np.uint64)
     fill = np.array([((masks[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean() for k in range(len(langs))])
@@ -168,7 +168,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             names, score = shared.value.predict(texts)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, lang_pred string, score double")
+    return in_arrow(docs.select("doc_id", "text"), run, "doc_id long, lang_pred string, score double")
 
 
 def held_out(doc_id: str = "doc_id"):

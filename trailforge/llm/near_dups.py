@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, Scratch, lean, slices, written
+from .common import WORD, Scratch, in_arrow, slices, written
 from .components import components
 
 K = 32
@@ -98,7 +98,7 @@ def sketched(docs: DataFrame, size: int, k: int = K) -> DataFrame:
             both = np.frombuffer(b"".join(prints), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "n", "f1", "f2", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n long, f1 long, f2 long, sketch array<long>")
+    return in_arrow(docs.select("doc_id", "text"), run, "doc_id long, n long, f1 long, f2 long, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -111,7 +111,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
             sets = [shingles(t, size).view(np.int64) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
-    return docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(lean(run), "id long, set array<long>")
+    return in_arrow(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi"), run, "id long, set array<long>")
 
 
 def _ranked(postings: DataFrame) -> DataFrame:
@@ -165,7 +165,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int = K) ->
                 kept.append(int(np.count_nonzero(common <= union[-1])) >= need(len(union), percent))
             yield batch.select(names).filter(pa.array(kept, pa.bool_()))
 
-    return met.select("a", "b", "s_a", "s_b").mapInArrow(lean(run), "a long, b long")
+    return in_arrow(met.select("a", "b", "s_a", "s_b"), run, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -181,7 +181,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 kept.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(("a", "b")).filter(pa.array(kept, pa.bool_()))
 
-    return met.select("a", "b", "x", "y").mapInArrow(lean(run), "a long, b long")
+    return in_arrow(met.select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def _from_pivots(members: DataFrame, key: list[str]) -> DataFrame:

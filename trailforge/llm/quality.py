@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, slices
+from .common import in_arrow, slices
 
 SYMBOLS = "#*$%&|<>"
 MOST_LABELS = 4096
@@ -184,7 +184,7 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> tup
             counts = pa.array([list(stats(t)) for t in texts], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), counts], names=["doc_id", "quality", "counts"])
 
-    found = rows.select("doc_id", F.col("quality").cast("int"), "text").mapInArrow(lean(run), "doc_id long, quality int, counts array<long>")
+    found = in_arrow(rows.select("doc_id", F.col("quality").cast("int"), "text"), run, "doc_id long, quality int, counts array<long>")
     found = sorted(found.groupBy("doc_id").agg(F.min(F.struct("quality", "counts")).alias("x")).collect(), key=lambda r: r[0])
     return np.array([list(r.x.counts) for r in found], np.int64).reshape(-1, len(STATS)), np.array([r.x.quality > 0 for r in found], bool)
 
@@ -219,7 +219,7 @@ def judge(docs: DataFrame, forest: Forest | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(counts[:, i]) for i in range(5)), pa.array(bad), pa.array(kept), pa.array(score)], names=names)
 
     schema = "doc_id long, " + ", ".join(f"{x} long" for x in STATS[:5]) + ", base_failed boolean, kept boolean, score double"
-    return docs.select("doc_id", "text").mapInArrow(lean(run), schema)
+    return in_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def keep(docs: DataFrame, forest: Forest | None) -> DataFrame:
@@ -230,4 +230,4 @@ def keep(docs: DataFrame, forest: Forest | None) -> DataFrame:
         for batch, texts in slices(batches):
             yield batch.filter(pa.array(verdicts(texts, forest)[3]))
 
-    return docs.mapInArrow(lean(run), schema)
+    return in_arrow(docs, run, schema)

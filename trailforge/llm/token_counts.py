@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import lean, slices
+from .common import in_arrow, slices
 
 CHUNK = 512
 BACK = 64
@@ -386,4 +386,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
             n = own.count(data)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(map(len, data)), pa.int64()), pa.array(n), pa.array(n > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return in_arrow(docs.select("doc_id", "text"), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

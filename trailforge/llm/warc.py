@@ -9,7 +9,7 @@ renamed, so that a repeated task leaves the same file.
 read(): the seek table gives each frame's place; only the frames that the index asks for are fetched and decompressed.
 
 Records with equal payloads (SHA-256) of at least `least` bytes: that with the smallest page_id is a response, the
-others are revisits that refer to it. Groups of copies are met by a join salted into SALTS parts.
+others are revisits that refer to it.
 
 Defined cases: null html is an empty payload (a response); null page_id never becomes the referred record unless all of a
 group are null (then all are responses); repeated rows of the first page_id are all responses; an empty table gives no
@@ -29,11 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, new_path, slices, written
+from .common import in_arrow, new_path, slices, written
 
 FRAME_BYTES = 1 << 20
 LEAST = 100
 SALTS = 16
+FEW = 100_000
 # Fixed values of the Zstandard seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -43,13 +44,20 @@ RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type
 
 
 def typed(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """page_id, url, html, digest, n_bytes, refers_to (null for responses)."""
+    """page_id, url, html, digest, n_bytes, refers_to (null for responses).
+
+    Groups of copies are counted on digests alone and written. FEW groups at most are broadcast, and no page leaves its task;
+    beyond, pages and groups meet by a shuffle on digest and salt."""
     raw = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", "html", F.sha2(raw, 256).alias("digest"), F.octet_length(raw).cast("long").alias("n_bytes"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    copied = rows.where(F.col("n_bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    copied = copied.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    met = rows.join(copied, ["digest", "salt"], "left")
+    found = rows.where(F.col("n_bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    copied = written(found.where("n > 1").select("digest", "first"), "warc-copied")
+    if copied.count() <= FEW:
+        met = rows.join(F.broadcast(copied), "digest", "left")
+    else:
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+        copied = copied.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        met = rows.join(copied, ["digest", "salt"], "left")
     return met.select("page_id", "url", "html", "digest", "n_bytes", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")).alias("refers_to"))
 
 
@@ -143,7 +151,7 @@ def _writer(folder: str):
 
 def write(pages: DataFrame, folder: str, least: int = LEAST) -> DataFrame:
     """Write the bundles into folder (a URI that pyarrow's file systems know) and return the index, itself a written table."""
-    return written(typed(pages, least).sortWithinPartitions("page_id").mapInArrow(lean(_writer(folder)), INDEX), "warc-index")
+    return written(in_arrow(typed(pages, least).sortWithinPartitions("page_id"), _writer(folder), INDEX), "warc-index")
 
 
 def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -175,7 +183,7 @@ def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
             columns = zip(*out, strict=True) if out else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    return index.mapInArrow(lean(fetch), RECORDS + (", payload binary" if payloads else ""))
+    return in_arrow(index, fetch, RECORDS + (", payload binary" if payloads else ""))
 
 
 def archive(pages: DataFrame, folder: str | None = None, least: int = LEAST) -> DataFrame:
