@@ -17,18 +17,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trailforge.functions.shipping import ship
 from trailforge.llm import bpe_sql, mixing, near_dups, pii, quality
-from trailforge.llm.common import table, written
+from trailforge.llm.common import Scratch, table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
     return quality.keep(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_dups_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
     return near_dups.keep(docs, size=5, percent=80)
 
 
@@ -41,7 +38,6 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
     return bpe_sql.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, held=100_000)
 
 
@@ -58,7 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows, lazily; what it reads goes with the application, or by trailforge.llm.common.release()."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with Scratch(spark) as results:
+        for name, stage in STAGES[:-1]:
+            with Scratch(spark) as scratch:
+                new = scratch.keep(written(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+            results.drop(docs)
+            docs = new
+        results.keep(docs)
+        return STAGES[-1][1](spark, docs, sf_dir)
