@@ -218,6 +218,130 @@ def test_run_and_resume(spark, tmp_path):
         evaluation.run_turns(CONFIG, todo.limit(0), 1, store, "r2", never, never)
 
 
+def test_mined_records_are_whole(spark, tmp_path):
+    """Messages as the model saw them, the catalogue, metadata; measured by their rendering; refused if they can't be normalised."""
+    from trailforge.operators import tools
+
+    def tagged():
+        def call(row):
+            if row["turn"] == 0:
+                return {"text": "<think>look</think>try", "tool_calls": [{"name": "go_test", "arguments": {"pkg": "./..."}}, {"id": "own", "name": "go_build", "arguments": {"pkg": "."}}]}
+            return {"text": "done", "tool_calls": []}
+
+        return call
+
+    def says():
+        def call(row):
+            bad = row["task_id"] == "tags" and row["tool_name"] == "go_test"
+            return {"tool_name": row["tool_name"], "status": "tool_error" if row["sample_index"] == 1 and row["tool_name"] == "go_test" else "ok", "exit_code": 0, "stdout": "<tool_use>" if bad else "fine", "duration_ms": 1, "harness_error": ""}
+
+        return call
+
+    store = ResultStore(spark, str(tmp_path / "s"))
+    todo = spark.createDataFrame([("a", 'say "hi"\nnow', "me/repo", "pkg", ["go_test"]), ("tags", "x", None, None, ["go_test"])], "id string, prompt string, repository string, package string, verification array<string>")
+    evaluation.run_evaluation(CONFIG, todo, store, run_id="r", generate=tagged, execute=says, n_samples=2, max_turns=3)
+    records, measured, outcomes = evaluation.mined(CONFIG, todo, 2, store, judged=False, max_turns=3)
+    assert {(r.task_id, r.sample_index): r.reason for r in outcomes.collect()} == {("a", 0): None, ("a", 1): None, ("tags", 0): "invalid:reserved_tag", ("tags", 1): "invalid:reserved_tag"}
+    got = {r.sample_index: json.loads(r.value) for r in records.collect()}
+    messages = got[0]["messages"]
+    assert [m["role"] for m in messages] == ["user", "assistant", "tool", "tool", "assistant"] and messages[0]["content"] == 'say "hi"\nnow'
+    assert [c["id"] for c in messages[1]["tool_calls"]] == [m["tool_call_id"] for m in messages[2:4]] == ["t0-go_test-0", "own"]
+    assert "tool_calls" not in messages[4] and [m["is_error"] for m in got[1]["messages"][2:4]] == [True, False]
+    assert got[0]["tools"] == tools.function_specs() and got[0]["metadata"] == {"task_id": "a", "sample_index": 0, "repository": "me/repo", "package": "pkg", "score": 0.0, "source": "eval"}
+    rows = {r.id: r for r in measured.collect()}
+    from trailforge.operators.conversation import normalize
+    from trailforge.operators.render import segments
+
+    parts = segments(normalize(got[0]))
+    assert rows["a#0"].total_tokens == sum(len(t.encode()) for t, _ in parts) and rows["a#0"].supervised_tokens == sum(len(t.encode()) for t, s in parts if s)
+    assert (rows["a#0"].tools, rows["a#0"].has_thinking, rows["a#0"].has_images, rows["a#0"].repository) == (["go_test", "go_build"], True, False, "me/repo")
+    pairs, found = evaluation.preference_pairs(CONFIG, todo, 2, store, max_turns=3)
+    assert {r.task_id: r.reason for r in found.collect()} == {"a": None, "tags": None}
+    pair = {r.task_id: r for r in pairs.collect()}["a"]
+    assert (pair.prompt, pair.chosen_reward, pair.rejected_reward, pair.margin) == ('say "hi"\nnow', 1.0, 0.0, 1.0)
+    assert json.loads(pair.chosen) == messages and json.loads(pair.rejected) == got[1]["messages"]
+    entries = evaluation.queue_entries(CONFIG, todo, 2, store, 3).orderBy("task_id", "sample_index").collect()
+    assert [(r.task_id, r.sample_index) for r in entries] == [("a", 0), ("a", 1), ("tags", 0), ("tags", 1)]
+    assert "-> go_test exit=0 status=ok\nfine" in entries[0].trajectory and entries[0].trajectory.startswith("## Task\nid: a\n") and "engineer: done" in entries[0].trajectory
+
+
+def test_a_turn_runs_once(spark, tmp_path):
+    """Each turn is written: what the generator was asked in an earlier turn is never asked again, stored or not."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def counting():
+        def call(row):
+            asked.add(1)
+            return {"text": "x", "tool_calls": [{"name": "grep", "arguments": {"pattern": "x"}}] if row["turn"] < 3 else []}
+
+        return call
+
+    todo = spark.createDataFrame([("a", "p"), ("b", "p")], "id string, prompt string")
+    calls = evaluation.run_turns(CONFIG, todo, 2, ResultStore(spark, str(tmp_path / "s")), "r", counting, executor, 6)
+    assert asked.value == 2 * 2 * 4 and calls.count() == 2 * 2 * 4
+    plan = calls._jdf.queryExecution().toString()
+    assert "Join" not in plan  # a union of written tables
+
+
+def test_queue_and_judge_commands(spark, tmp_path, capsys):
+    """eval queue against a served model, eval judge with verdicts, data mine: the whole way by commands."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Model(BaseHTTPRequestHandler):
+        def do_POST(self):
+            sent = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            call = {"id": "c1", "function": {"name": "write_file", "arguments": json.dumps({"path": "a.go", "content": "package a"})}}
+            message = {"content": "I write.", "tool_calls": [call]} if len(sent["messages"]) == 2 else {"content": "Done."}
+            body = json.dumps({"choices": [{"message": message}]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Model)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        tasks_path, out = str(tmp_path / "t.jsonl"), str(tmp_path / "queue")
+        with open(tasks_path, "w") as f:
+            f.write("".join(json.dumps({"id": i, "prompt": f"do {i}", "repository": "r", "package": "p", "verification": []}) + "\n" for i in "ab"))
+        run = ["--store", str(tmp_path / "s"), "--run-id", "r"]
+        model = ["--model", "m", "--model-url", f"http://127.0.0.1:{server.server_port}", "--model-revision", "1", "--dataset-version", "d", "--workspace", str(tmp_path / "w"), "--skip-canary"]
+        assert cli.main(["eval", "queue", tasks_path, *run, "--out", out, *model], spark) == 1  # not allowed
+        assert cli.main(["eval", "queue", tasks_path, *run, "--out", out, *model, "--allow-local-execution"], spark) == 0
+        said = json.loads(capsys.readouterr().out.splitlines()[-1])
+        assert said["awaiting"] == 2 and said["mean_pass_at_1"] == 1.0 and (tmp_path / "w" / "a-s0" / "a.go").read_text() == "package a"
+        queue = files.read_judge_queue(spark, out)
+        assert all("created a.go" in r.trajectory for r in queue.collect())
+        verdicts = str(tmp_path / "v")
+        files.write_verdicts(queue.select("key", F.when(F.col("task_id") == "a", 1.0).otherwise(0.0).alias("score"), F.lit("seen").alias("reason")), verdicts)
+        assert cli.main(["eval", "judge", out, verdicts, *run, "--tasks", tasks_path], spark) == 0
+        said = json.loads(capsys.readouterr().out.splitlines()[-1])
+        assert said["mean_pass_at_1"] == 0.5 and {r["task_id"]: r["passed"] for r in said["per_task"]} == {"a": 1, "b": 0} and not said["reproducible"]
+        assert cli.main(["data", "mine", tasks_path, *run, "--out", str(tmp_path / "mined")], spark) == 0
+        said = json.loads(capsys.readouterr().out.splitlines()[-1])
+        assert said["reasons"] == {"admitted": 1, "below_threshold": 1} and said["corpus"]["trajectories"] == 1
+        assert files.read_conversations(spark, str(tmp_path / "mined")).count() == 1
+        with pytest.raises(ConfigError):
+            evaluation.http_client("ftp://x")
+        with pytest.raises(HarnessError):
+            evaluation.http_client("http://127.0.0.1:9", timeout=2)({"model": "m"})
+    finally:
+        server.shutdown()
+
+
+def test_http_judge():
+    reply = lambda text: json.dumps({"choices": [{"message": {"content": text}}]})
+    row = {"record": json.dumps({"task": {"id": "a", "prompt": "p"}, "turns": []})}
+    sent = []
+    call = evaluation.http_judge(lambda r: sent.append(r) or reply('{"pass": true, "reason": "ok"}'), "m", temperature=0.0)()
+    assert call(row)["score"] == 1.0 and sent[0]["temperature"] == 0.0 and "id: a" in sent[0]["messages"][1]["content"]
+    with pytest.raises(HarnessError):
+        evaluation.http_judge(lambda r: reply("no"), "m")()(row)
+
+
 def test_planted_failures():
     texts = {"a": {"f": "x == y"}, "b": {"f": "x"}, "c": {"f": "x == z"}, "d": {"f": "q"}}
     passes = lambda p: p != "d" and ("!=" not in texts[p]["f"] or p == "c")

@@ -69,7 +69,9 @@ class ResultStore:
         return self.spark.read.schema(OBJECTS).parquet(*batches) if batches else self.spark.createDataFrame([], OBJECTS)
 
     def put(self, rows: DataFrame, strict: bool = False) -> int:
-        """Store new rows (key, stage, payload); an equal one is left alone (or refused, if strict), a different one is an
+        """One driver at a time writes a store: the check and the append are two steps.
+
+        Store new rows (key, stage, payload); an equal one is left alone (or refused, if strict), a different one is an
         error, and then nothing is stored. Returns the number stored. The rows are computed once, into a staging
         folder; one anti-join and one append follow."""
         fs, staging = self._fs(f"{self.root}/staging/{uuid.uuid4().hex}")
@@ -93,6 +95,14 @@ class ResultStore:
         finally:
             fs.delete(staging, True)
 
+    def step(self, rows: DataFrame) -> DataFrame:
+        """rows, written below root/steps and read back: what a run has come to, so that a later step doesn't begin before it.
+        Steps go with the application; the results proper are objects."""
+        fs, path = self._fs(f"{self.root}/steps/{uuid.uuid4().hex}")
+        rows.write.parquet(path.toString())
+        fs.deleteOnExit(path)
+        return self.spark.read.schema(rows.schema).parquet(path.toString())
+
     def get(self, key: str) -> dict | None:
         if not re.match(KEY, key):
             raise StoreError("a key is 64 lower-case hexadecimal digits")

@@ -22,24 +22,52 @@ CATALOGUE = (
     ("go_doc", ("symbol",), (), "raw", "go doc {symbol}", 6_000),
     ("go_mod_tidy", (), (), "raw", "go mod tidy", 4_000),
 )
+# What the model reads about each tool, and about its arguments.
+ABOUT = {
+    "read_file": "Read a Go source file. Returns the file contents verbatim, including package clause, imports and comments. Use this before editing a file.",
+    "write_file": "Create or overwrite a file with the given contents. Use for new files only; prefer edit_file for changes to existing files.",
+    "edit_file": "Replace an exact, unique string in a file. The old_string must appear exactly once; include enough surrounding context to make it unique.",
+    "grep": "Search the repository with a regular expression. Returns matching lines grouped by file, truncated for length. Searches recursively, so a directory finds matches in everything beneath it.",
+    "go_build": "Compile Go packages. Returns compiler errors and warnings only; a successful build produces no output.",
+    "go_test": "Run Go tests for a package pattern. Returns failures and their output; a passing package is summarised rather than listed line by line.",
+    "rtk_recall": "Retrieve the full output that a compressed command elided. When a tool result ends with '[full output: rtk recall <hash>]', pass that hash here to see what was cut. A unique prefix is enough. Only useful immediately after reading a compressed result: the stored output is overwritten as commands run.",
+    "go_doc": "Show documentation for a Go symbol: signature, doc comment, and available methods. Use before calling an unfamiliar standard library function.",
+    "go_mod_tidy": "Run go mod tidy to add missing or remove unused module requirements. Takes no arguments.",
+}
+ARGUMENTS = {
+    "read_file": {"path": "Repo-relative path to a Go file"},
+    "write_file": {"path": "Repo-relative path to write", "content": "Full file contents"},
+    "edit_file": {"path": "Repo-relative path to edit", "old_string": "Exact text to replace, including indentation", "new_string": "Replacement text"},
+    "grep": {"pattern": "Go regular expression", "path": "Repo-relative directory to search (default: whole repo)"},
+    "go_build": {"pkg": "Package pattern, e.g. ./... or ./parser"},
+    "go_test": {"pkg": "Package pattern, e.g. ./... or ./parser"},
+    "rtk_recall": {"hash": "Hash from a '[full output: ...]' hint"},
+    "go_doc": {"symbol": "Symbol, e.g. errors.Is or sync.Mutex"},
+    "go_mod_tidy": {},
+}
 NAMES = tuple(x[0] for x in CATALOGUE)
 HANDLERS = ("write_file", "edit_file")
 
 
 def parameters(name: str) -> dict:
-    """The JSON schema of a tool's arguments: strings only."""
-    _, required, optional, *_ = next(x for x in CATALOGUE if x[0] == name)
-    return {"type": "object", "properties": {a: {"type": "string"} for a in (*required, *optional)}, "required": list(required)}
+    """The JSON schema of a tool's arguments: strings only, and no others."""
+    _, required, *_ = next(x for x in CATALOGUE if x[0] == name)
+    return {"type": "object", "properties": {a: {"type": "string", "description": t} for a, t in ARGUMENTS[name].items()}, "required": list(required), "additionalProperties": False}
+
+
+def function_specs() -> list[dict]:
+    """The catalogue as chat models are offered it."""
+    return [{"type": "function", "function": {"name": n, "description": ABOUT[n], "parameters": parameters(n)}} for n in NAMES]
 
 
 def catalogue(spark) -> DataFrame:
-    rows = [(n, list(r), list(o), e, t, b, spaced(parameters(n))) for n, r, o, e, t, b in CATALOGUE]
-    return spark.createDataFrame(rows, "name string, required array<string>, optional array<string>, execution string, template string, budget int, input_schema string")
+    rows = [(n, ABOUT[n], list(r), list(o), e, t, b, spaced(parameters(n))) for n, r, o, e, t, b in CATALOGUE]
+    return spark.createDataFrame(rows, "name string, description string, required array<string>, optional array<string>, execution string, template string, budget int, input_schema string")
 
 
 def catalogue_sha() -> str:
-    """Changes with names, arguments, execution and budgets; not with command templates."""
-    return sha256_text(canonical({"catalog_version": CATALOGUE_VERSION, "tools": [{"name": n, "parameters": parameters(n), "execution": e, "output_budget_chars": b} for n, _, _, e, _, b in CATALOGUE]}))
+    """Changes with names, descriptions, arguments, execution and budgets; not with command templates."""
+    return sha256_text(canonical({"catalog_version": CATALOGUE_VERSION, "tools": [{"name": n, "description": ABOUT[n], "parameters": parameters(n), "execution": e, "output_budget_chars": b} for n, _, _, e, _, b in CATALOGUE]}))
 
 
 def guard(rows=CATALOGUE, handlers=HANDLERS) -> None:

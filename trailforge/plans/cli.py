@@ -10,8 +10,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import EngineError
+from ..errors import ConfigError, EngineError
 from ..operators import agentcorpus, codecorpus, tasks
+from ..schemas import MAX_TURNS
 from ..sources import files
 
 
@@ -66,18 +67,47 @@ def validate(spark: SparkSession, args) -> int:
 
 
 def queue(spark: SparkSession, args) -> int:
-    entries = files.read_judge_queue(spark, args.path)
-    print(json.dumps({"entries": entries.count()}))
+    """Run the agent over the tasks and write the samples that await a verdict."""
+    from ..operators import evaluation, scoring, tools, workspace
+    from ..operators.store import ResultStore
+    from .planning import RunConfig
+
+    if not args.allow_local_execution:
+        raise ConfigError("commands of the model would run on this machine: say --allow-local-execution, for trusted trials")
+    decoding = {"temperature": args.temperature, "max_tokens": args.max_tokens}
+    config = RunConfig(args.model, args.model_revision, args.dataset_version, args.seed, decoding, args.samples, args.max_turns, tool_catalog_sha=tools.catalogue_sha())
+    if not args.skip_canary:
+        if absent := workspace.missing_binaries(tools.binaries()):
+            raise ConfigError(f"the catalogue needs {absent}, which this machine has not")
+        evaluation.probe(args.workspace)
+    store, todo = ResultStore(spark, args.store), files.read_eval_tasks(spark, args.tasks)
+    generate = evaluation.http_generator(evaluation.http_client(args.model_url, "MODEL_API_KEY"), args.model, args.system, args.seed, **decoding)
+    execute = evaluation.local_execution(args.workspace, args.fixture)
+    summary = evaluation.run_evaluation(config.fingerprint(), todo, store, run_id=args.run_id, generate=generate, execute=execute, n_samples=args.samples, max_turns=args.max_turns, k=args.samples)
+    report = _row(scoring.run_report(summary))
+    n = files.write_judge_queue(evaluation.queue_entries(config.fingerprint(), todo, args.samples, store, args.max_turns), args.out)
+    print(json.dumps({"scoring": "execution", **report, "awaiting": n}, ensure_ascii=False))
     return 0
 
 
 def judge(spark: SparkSession, args) -> int:
-    """Check verdicts against the queue and store them."""
-    from ..operators.evaluation import ingest_verdicts
+    """Check verdicts against the queue, store them, and print the scored report. Nothing is executed."""
+    from ..operators import evaluation, scoring
     from ..operators.store import ResultStore
 
     verdicts = files.read_verdicts(spark, args.verdicts, files.read_judge_queue(spark, args.queue))
-    print(json.dumps({"stored": ingest_verdicts(verdicts, ResultStore(spark, args.store), args.identity)}))
+    n = evaluation.ingest_verdicts(verdicts, ResultStore(spark, args.store), args.identity)
+    said = {"stored": n}
+    if args.run_id and args.tasks:
+        store, config, manifest, todo = _run_of(spark, args)
+        samples, turns = manifest["n_samples"], manifest["max_turns"]
+        store.start(args.run_id, manifest | {"judge": args.identity})
+        calls = evaluation.rebuild_from_store(config, todo, samples, store, turns)
+        whole = evaluation.trajectory.summarised(evaluation.per_turn(calls), turns)
+        summary = scoring.run_summary(todo.select(F.col("id").alias("task_id")), samples, whole, evaluation.stored_verdicts(config, whole, store), samples)
+        truncated = whole.where("state = 'truncated'").count()
+        said |= {"scoring": "session_judge", "reproducible": False, "judge_identity": args.identity, "run_id": args.run_id, "truncated": truncated, **_row(scoring.run_report(summary)), "per_task": _rows(summary)}
+    print(json.dumps(said, ensure_ascii=False))
     return 0
 
 
@@ -93,25 +123,26 @@ def _run_of(spark, args):
 
 
 def mine(spark: SparkSession, args) -> int:
-    """Admitted samples of a stored run; its parameters come from its manifest."""
+    """Training records of a stored run; its parameters come from its manifest."""
     from ..operators import evaluation, mining
 
     store, config, manifest, todo = _run_of(spark, args)
-    rows = evaluation.mine(config, todo, manifest["n_samples"], store, judged=bool(manifest.get("judge")), min_score=args.min_score, max_turns=manifest["max_turns"])
-    found = {r["reason"]: r["n"] for r in _rows(mining.histogram(rows))}
-    named = todo.select(F.col("id").alias("task_id"), "repository", "package")
-    n = files.write_jsonl(mining.records(rows, named).select("metadata"), args.out) if found.get("admitted") else 0
-    print(json.dumps({"written": n, "reasons": found}))
+    records, measured, outcomes = evaluation.mined(config, todo, manifest["n_samples"], store, judged=bool(manifest.get("judge")), min_score=args.min_score, max_turns=manifest["max_turns"])
+    n = files.write_lines(records, args.out, "value")
+    found = {r["reason"]: r["n"] for r in _rows(mining.histogram(outcomes))}
+    print(json.dumps({"written": n, "reasons": found, "min_score": args.min_score, "corpus": _row(agentcorpus.measure(measured)) if n else None}, ensure_ascii=False))
     return 0 if n else 2
 
 
 def preferences(spark: SparkSession, args) -> int:
-    from ..operators import evaluation, mining, reward
+    """Preference pairs of a stored run, with both conversations."""
+    from ..operators import evaluation, mining
 
     store, config, manifest, todo = _run_of(spark, args)
-    rows = evaluation.build_preferences(config, todo, manifest["n_samples"], store, min_margin=args.min_margin, max_turns=manifest["max_turns"])
-    n = files.write_jsonl(reward.pairs(rows), args.out)
-    print(json.dumps({"written": n, "reasons": {r["reason"]: r["n"] for r in _rows(mining.histogram(rows))}}))
+    pairs, outcomes = evaluation.preference_pairs(config, todo, manifest["n_samples"], store, min_margin=args.min_margin, max_turns=manifest["max_turns"])
+    n = files.write_preference_pairs(pairs, args.out)
+    found = {("paired" if r["reason"] == "admitted" else r["reason"]): r["n"] for r in _rows(mining.histogram(outcomes))}
+    print(json.dumps({"written": n, "reasons": found, "min_margin": args.min_margin}))
     return 0 if n else 2
 
 
@@ -133,8 +164,11 @@ def parser() -> argparse.ArgumentParser:
     stored = [(["tasks"], {}), (["--store"], {"required": True}), (["--run-id"], {"required": True}), (["--out"], {"required": True})]
     add(data, "mine", mine, *stored, (["--min-score"], {"type": float, "default": 1.0}))
     add(data, "preferences", preferences, *stored, (["--min-margin"], {"type": float, "default": 0.0}))
-    add(evaluate, "queue", queue, (["path"], {}))
-    add(evaluate, "judge", judge, (["queue"], {}), (["verdicts"], {}), (["--store"], {"required": True}), (["--identity"], {"default": "session"}))
+    number = lambda flag, value: ([flag], {"type": type(value), "default": value})
+    model = [([x], {"required": True}) for x in ("--model", "--model-url", "--model-revision", "--dataset-version", "--workspace")]
+    model += [number("--samples", 1), number("--max-turns", MAX_TURNS), number("--seed", 0), number("--temperature", 0.0), number("--max-tokens", 4096), (["--system"], {"default": ""}), (["--fixture"], {})]
+    add(evaluate, "queue", queue, *stored, *model, *[([x], {"action": "store_true"}) for x in ("--skip-canary", "--allow-local-execution")])
+    add(evaluate, "judge", judge, (["queue"], {}), (["verdicts"], {}), (["--store"], {"required": True}), (["--identity"], {"default": "session"}), (["--run-id"], {}), (["--tasks"], {}))
     return top
 
 
