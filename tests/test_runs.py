@@ -342,6 +342,29 @@ def test_http_judge():
         evaluation.http_judge(lambda r: reply("no"), "m")()(row)
 
 
+def test_template_checks():
+    from trailforge.errors import TemplateError
+    from trailforge.functions.keys import attempt_key, attempt_keys
+    from trailforge.operators import render
+
+    good = "{#-\n  format: anthropic-tools-v1\n-#}{% generation %}"
+    assert render.template_version(good) == "anthropic-tools-v1" and render.check_token_format(good, 1, 2) is None
+    for source, pad in (("{# x #}", 1), (good.replace("v1", "v2"), 1), (good.split("{%")[0], 1), (good, None), (good, 2)):
+        with pytest.raises(TemplateError):
+            render.check_token_format(source, pad, 2)
+    row = {**CONFIG, "task_id": "a", "sample_index": 0, "stage": "generate"}
+    assert attempt_keys([row, {**row, "sample_index": 1}]) == [attempt_key(**row), attempt_key(**row | {"sample_index": 1})]
+
+
+def test_budget_is_refused(spark):
+    from trailforge.operators import batching
+
+    accounts = spark.createDataFrame([(0, 10, 5), (1, 100, 5)], "batch int, width int, rows int")
+    assert batching.within_budget(accounts, 500).count() == 2
+    with pytest.raises(Exception, match="over the budget"):
+        batching.within_budget(accounts, 499).collect()
+
+
 def test_planted_failures():
     texts = {"a": {"f": "x == y"}, "b": {"f": "x"}, "c": {"f": "x == z"}, "d": {"f": "q"}}
     passes = lambda p: p != "d" and ("!=" not in texts[p]["f"] or p == "c")
@@ -368,6 +391,32 @@ def test_http_generator():
     assert sent[0]["seed"] == 2005 and [m["content"] for m in sent[0]["messages"]] == ["sys", "p"]
 
 
+def test_late_rows_are_left_out(spark, tmp_path):
+    """A real stream with a watermark: what comes more than an hour behind the latest row of an earlier batch isn't counted,
+    and a closed window is written once."""
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def batch(*rows):
+        spark.createDataFrame(rows, "time string, event_type string").select(F.col("time").cast("timestamp").alias("ts"), "event_type").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("ts timestamp, event_type string").parquet(source)
+        stats.run_once(stats.windowed_counts(stream).select("start", "event_type", "n"), target, str(tmp_path / "c"), mode="append")
+
+    batch(("2024-01-01 10:01:00", "a"), ("2024-01-01 10:02:00", "a"), ("2024-01-01 12:00:00", "b"))
+    batch(("2024-01-01 10:03:00", "a"), ("2024-01-01 11:30:00", "a"), ("2024-01-01 14:00:00", "b"))
+    batch(("2024-01-01 15:30:00", "c"))
+    found = {(r.start.strftime("%H:%M"), r.event_type): r.n for r in spark.read.parquet(target).collect()}
+    assert found == {("10:00", "a"): 2, ("11:30", "a"): 1, ("12:00", "b"): 1, ("14:00", "b"): 1}
+
+
+def test_stream_state_can_be_bounded(spark, tmp_path):
+    rows = spark.createDataFrame([("completed", "generate", "a", "2024-01-01 10:00:00"), ("completed", "generate", "a", "2024-01-01 10:00:01"), ("completed", "judge", "b", "2024-01-01 10:00:02")], "event string, stage string, key string, time string")
+    path = str(tmp_path / "in")
+    rows.withColumn("time", F.col("time").cast("timestamp")).coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema("event string, stage string, key string, time timestamp").parquet(path)
+    out = stats.run_once(stats.completed_once(stream, "time", "1 hour"), str(tmp_path / "t"), str(tmp_path / "c"), mode="append")
+    assert sorted(r.key for r in out.collect()) == ["a", "b"]
+
+
 # Plans and commands
 
 
@@ -428,5 +477,15 @@ def test_commands(spark, tmp_path, capsys):
     with open(talk, "w") as f:
         f.write(json.dumps({"messages": [{"role": "user", "content": "a"}]}) + "\n")
     assert cli.main(["data", "validate", talk, "--out", str(tmp_path / "t")], spark) == 2
+    assert cli.main(["data", "prepare", pairs, "--out", str(tmp_path / "prepared")], spark) == 0
+    said = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert said["written"] == 1 and not said["refused"] and said["tokens"]["supervised"] == len("test\n")
+    assert cli.main(["data", "prepare", pairs, "--out", str(tmp_path / "none"), "--max-tokens", "10"], spark) == 2
+    chain = str(tmp_path / "stages.json")
+    with open(chain, "w") as f:
+        json.dump([{"name": "a", "command": ["true"]}, {"name": "b", "command": ["false"], "fatal": False}, {"name": "c", "command": ["false"]}], f)
+    assert cli.main(["pipeline", "run", chain, "--logs", str(tmp_path / "logs")], spark) == 1
+    assert cli.main(["pipeline", "run", chain, "--logs", str(tmp_path / "logs"), "--skip", "c"], spark) == 0
+    assert cli.main(["pipeline", "run", chain, "--logs", str(tmp_path / "logs"), "--skip", "d"], spark) == 1
     assert cli.main(["data", "measure", path + "x"], spark) == 1
     assert spark.range(1).select(F.lit(1)).count() == 1

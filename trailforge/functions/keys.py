@@ -28,6 +28,11 @@ def attempt_key(**fields) -> str:
     return sha256_text(canonical({"store_version": STORE_VERSION, **fields}))
 
 
+def attempt_keys(rows) -> list[str]:
+    """The keys of attempts given as mappings, each with all fields; for lists on the driver. Tables take key_column()."""
+    return [attempt_key(**row) for row in rows]
+
+
 def json_text(x: Column) -> Column:
     """A string column as JSON text in Python's way: quotes, backslashes and control characters escaped, the rest raw."""
     x = F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))

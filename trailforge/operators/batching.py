@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,29 +14,29 @@ RATIO = 4.0
 def length_batches(rows: DataFrame, batch_size: int, bucket_multiplier: int = BUCKETS, ratio: float = RATIO, seed: int = 0, chunk_rows: int | None = None) -> DataFrame:
     """id, length, chunk, batch, place. rows: id, length.
 
-    Rows are shuffled by a hash into chunks of about batch_size * bucket_multiplier rows; a chunk is sorted by length and
+    In expressions only. Rows are shuffled by a hash into chunks of about batch_size * bucket_multiplier rows; a chunk is sorted by length and
     cut where a batch is full or a length exceeds ratio times the batch's first. Chunks come from the hash alone, so no
     order over all rows is needed and every chunk is a bounded group."""
     if batch_size < 1 or ratio < 1 or bucket_multiplier < 1:
         raise ValueError("batch_size, ratio and bucket_multiplier are 1 at least")
     size = chunk_rows or batch_size * bucket_multiplier
     chunks = max(1, -(-rows.count() // size))
-    dealt = rows.select("id", "length", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(chunks)).alias("chunk"))
+    number = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col("id").cast("string"))), 1, 15), 16, 10).cast("long")
+    dealt = rows.select("id", "length", F.pmod(number, F.lit(chunks)).alias("chunk"))
+    sorted_ = dealt.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("length", "id"))).alias("rows"))
 
-    def cut(chunk: pd.DataFrame) -> pd.DataFrame:
-        chunk = chunk.sort_values(["length", "id"], kind="stable").reset_index(drop=True)
-        batch, place, first, n = [], [], None, 0
-        number = -1
-        for length in chunk["length"]:
-            if first is None or n >= batch_size or length > ratio * first:
-                number, first, n = number + 1, length, 0
-            batch.append(number)
-            place.append(n)
-            n += 1
-        chunk["batch"], chunk["place"] = batch, place
-        return chunk[["id", "length", "chunk", "batch", "place"]]
+    def step(acc: Column, x: Column) -> Column:
+        new = (acc["batch"] < 0) | (acc["place"] + 1 >= batch_size) | (x["length"] > ratio * acc["first"])
+        place = F.when(new, 0).otherwise(acc["place"] + 1)
+        batch = F.when(new, acc["batch"] + 1).otherwise(acc["batch"])
+        first = F.when(new, x["length"]).otherwise(acc["first"])
+        return F.struct(batch.alias("batch"), place.alias("place"), first.alias("first"), F.concat(acc["out"], F.array(F.struct(batch.alias("batch"), place.alias("place")))).alias("out"))
 
-    return dealt.groupBy("chunk").applyInPandas(cut, "id long, length long, chunk long, batch int, place int")
+    kind = rows.schema["length"].dataType.simpleString()
+    start = F.struct(F.lit(-1).alias("batch"), F.lit(0).alias("place"), F.lit(0).cast(kind).alias("first"), F.from_json(F.lit("[]"), "array<struct<batch:int,place:int>>").alias("out"))
+    cut = F.aggregate("rows", start, step, lambda acc: acc["out"])
+    found = sorted_.select("chunk", F.explode(F.arrays_zip(F.col("rows"), cut.alias("cut"))).alias("x"))
+    return found.select("x.rows.id", "x.rows.length", "chunk", "x.cut.batch", "x.cut.place")
 
 
 def epoch_order(batches: DataFrame, epoch: int, seed: int = 0) -> DataFrame:
@@ -99,6 +98,13 @@ def over_budget(accounts: DataFrame, most: int = 1_000_000) -> DataFrame:
     return accounts.where(F.col("width") * F.col("rows") > most)
 
 
+def within_budget(accounts: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """accounts, of which a batch over the token budget is an error once it is read."""
+    tokens = F.col("width") * F.col("rows")
+    fail = F.raise_error(F.concat(F.lit("a batch of "), tokens.cast("string"), F.lit(f" tokens is over the budget of {most}"))).cast("boolean")
+    return accounts.where(F.when(tokens <= most, True).otherwise(fail))
+
+
 def too_long(rows: DataFrame, limit: int) -> DataFrame:
     """The first example (id, length) over the context limit; no row if all fit."""
     return rows.where(F.col("length") > limit).agg(F.min_by(F.struct("id", "length"), "id").alias("x")).where("x is not null").select("x.*")

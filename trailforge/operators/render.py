@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -75,6 +76,28 @@ def render_long(messages: DataFrame) -> DataFrame:
     return own.select("conv_id", F.array_join(F.transform("x", lambda x: x["t"]), "").alias("rendered"))
 
 
+# Fixed value: where a template file names its format.
+VERSION_MARK = r"\{#-\s*\n\s*format:\s*([a-z0-9.\-]+)\s*\n"
+
+
+def template_version(source: str) -> str:
+    """The format that a template file declares; one without is refused."""
+    found = re.search(VERSION_MARK, source)
+    if found is None:
+        raise TemplateError("the template names no format")
+    return found[1]
+
+
+def check_token_format(source: str, pad_id: int | None, vision_pad_id: int | None = None, version: str = FORMAT_VERSION) -> None:
+    """What must hold before tokens are made of a template: its format, the marks of what is supervised, a pad of its own."""
+    if template_version(source) != version:
+        raise TemplateError(f"the template's format is {template_version(source)}, not {version}")
+    if "{% generation" not in source and "{%- generation" not in source:
+        raise TemplateError("the template marks nothing as supervised")
+    if pad_id is None or pad_id == vision_pad_id:
+        raise TemplateError("the pad is missing, or is the pad of images")
+
+
 def byte_tokenizer() -> Callable[[str], list[int]]:
     """A tokenizer that needs no model: the UTF-8 bytes."""
     return lambda text: list(text.encode())
@@ -123,10 +146,10 @@ def export_lines(rows: DataFrame) -> DataFrame:
 
 
 def token_totals(rows: DataFrame) -> DataFrame:
-    """records, total, supervised, longest, average (floored), share (of all tokens)."""
+    """records, total, supervised, longest, average (floored), share (of all tokens; 1.0 without any)."""
     n, s = F.size("input_ids"), F.aggregate("assistant_mask", F.lit(0), lambda a, v: a + v)
     found = rows.agg(F.count("*").alias("records"), F.sum(n).alias("total"), F.sum(s).alias("supervised"), F.max(n).alias("longest"))
-    return found.select("*", F.floor(F.col("total") / F.col("records")).alias("average"), F.least(F.lit(1.0), F.col("supervised") / F.col("total")).alias("share"))
+    return found.select("*", F.floor(F.col("total") / F.col("records")).alias("average"), F.when(F.col("total") > 0, F.least(F.lit(1.0), F.col("supervised") / F.col("total"))).otherwise(1.0).alias("share"))
 
 
 def measure_dataset(conversations: DataFrame, max_records: int | None = None, max_tokens: int | None = None, tokenizer: Callable[[], Callable[[str], list[int]]] = byte_tokenizer) -> tuple[DataFrame, DataFrame]:

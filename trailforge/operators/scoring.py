@@ -49,9 +49,10 @@ def run_summary(tasks: DataFrame, n_samples: int, trajectories: DataFrame, verdi
     return found.withColumn("pass_at_1", F.col("passed") / F.col("samples")).withColumn("pass_at_n", pass_at_k(F.col("samples"), F.col("passed"), k)).orderBy("task_id")
 
 
-def run_report(summary: DataFrame) -> DataFrame:
-    """Means over tasks, and the tasks without any verdict."""
-    return summary.agg(F.count("*").alias("tasks"), F.avg("pass_at_1").alias("mean_pass_at_1"), F.avg("pass_at_n").alias("mean_pass_at_n"), F.count_if(F.col("judged") == 0).cast("long").alias("unjudged_tasks"))
+def run_report(summary: DataFrame, trajectories: DataFrame | None = None) -> DataFrame:
+    """Means over tasks, and the tasks without any verdict; with trajectories also how many are truncated."""
+    found = summary.agg(F.count("*").alias("tasks"), F.avg("pass_at_1").alias("mean_pass_at_1"), F.avg("pass_at_n").alias("mean_pass_at_n"), F.count_if(F.col("judged") == 0).cast("long").alias("unjudged_tasks"))
+    return found if trajectories is None else found.join(F.broadcast(trajectories.agg(F.count_if(F.col("state") == "truncated").cast("long").alias("truncated"))))
 
 
 def judge_queue(trajectories: DataFrame, verdicts: DataFrame) -> DataFrame:

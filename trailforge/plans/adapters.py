@@ -68,6 +68,14 @@ def measured(spark, sf_dir) -> DataFrame:
     )
 
 
+def planted(spark, sf_dir) -> DataFrame:
+    """measured() with faults: go_doc is go_vet, which no catalogue has; go_mod_tidy is rare; only long ones call rtk_recall; few have several calls."""
+    tokens = F.col("total_tokens")
+    tool = lambda t: F.when(t == "go_doc", "go_vet").when((t == "go_mod_tidy") & (tokens < 400), "go_test").when((t == "rtk_recall") & (tokens < 250), "grep").otherwise(t)
+    rows = measured(spark, sf_dir).withColumn("tools", F.transform("tools", tool))
+    return rows.withColumn("tools", F.when(tokens < 150, F.slice("tools", 1, 1)).otherwise(F.col("tools")))
+
+
 # The same views in SQL, as common table expressions of the oracle queries.
 _TOOLS = ", ".join(f"'{n}'" for n in ORDERED)
 SQL = {
@@ -88,6 +96,8 @@ SQL = {
     "measured": """measured as (select task_id || '#' || sample_index as id, 'repo' || task_id % 7 as repository, 'pkg' || task_id % 50 as package,
       list(tool_name order by turn_index) filter (where has_call) as tools, coalesce(sum(k) filter (where has_call), 0) as supervised, coalesce(sum(k), 0) as total, bool_or(event_type = 'purchase') as has_thinking
       from turns group by task_id, sample_index)""",
+    "planted": """measured as (select * replace (case when total < 150 then x[1:1] else x end as tools) from (select *, list_transform(coalesce(tools, []), lambda t: case when t = 'go_doc' then 'go_vet'
+      when t = 'go_mod_tidy' and total < 400 then 'go_test' when t = 'rtk_recall' and total < 250 then 'grep' else t end) as x from whole))""",
     "counts": """counts as (select tool, cast(count(*) as bigint) as calls, count(distinct id) as trajectories, count(distinct id) / (select count(*) from measured) as coverage
       from (select id, unnest(tools) as tool from measured) group by tool)""",
     "scored": """scored as (select task_id, sample_index, state = 'finished' as complete, case when last = 'ok' then 1.0 when last is not null then 0.0 end as reward

@@ -1,4 +1,4 @@
-"""Commands over the operators: python -m trailforge.plans.cli data|eval ... Exit codes: 0 fine, 1 inadequate or an error
+"""Commands over the operators: python -m trailforge.plans.cli data|eval|pipeline ... Exit codes: 0 fine, 1 inadequate or an error
 of the engine, 2 nothing left."""
 
 from __future__ import annotations
@@ -49,6 +49,39 @@ def code_pairs(spark: SparkSession, args) -> int:
     return 1 if found else 0
 
 
+def prepare(spark: SparkSession, args) -> int:
+    """Instruction records of the code pairs that are admitted, first copies only, in file order; those that render to at
+    most max_tokens tokens are written, the others counted by reason."""
+    from ..operators import conversation, render
+
+    pairs = codecorpus.deduplicate(codecorpus.admit(files.read_splits(spark, args.paths), codecorpus.licences(spark), args.include_review))
+    place = F.concat_ws("-", F.format_string("%04d", F.col("split_ord")), F.format_string("%012d", F.col("row_ord").cast("long")))
+    messages = codecorpus.instruction_messages(F.col("code_path"), F.col("repository"), F.col("code"), F.col("test"))
+    raw = pairs.select(place.alias("conv_id"), F.to_json(F.struct(messages.alias("messages"))).alias("value"))
+    normal = conversation.normalize_records(raw, sanitize=True)
+    made, refused = render.measure_dataset(normal.where("reason is null").select("conv_id", "conversation"), args.max_records or None, args.max_tokens)
+    n = files.write_lines(made.select("conv_id").join(normal.select("conv_id", "conversation"), "conv_id").orderBy("conv_id"), args.out, "conversation")
+    reasons = refused.select("reason").unionByName(normal.where("reason is not null").select("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    print(json.dumps({"written": n, "refused": {r["reason"]: r["n"] for r in _rows(reasons)}, "tokens": _row(render.token_totals(made)) if n else None}))
+    return 0 if n else 2
+
+
+def pipeline(spark: SparkSession, args) -> int:
+    """Stages from a JSON list of {name, command, fatal, enabled}; the first fatal failure ends the chain."""
+    from . import stages
+
+    with open(args.stages, encoding="utf-8") as f:
+        listed = json.load(f)
+    off = set(args.skip or [])
+    unknown = off - {x.get("name") for x in listed}
+    if unknown:
+        raise ConfigError(f"no such stages: {sorted(unknown)}")
+    chain = [stages.Stage(x["name"], x["command"], fatal=x.get("fatal", True), enabled=x.get("enabled", True) and x["name"] not in off) for x in listed]
+    results = stages.run_stages(chain, args.logs, lambda line: print(line, file=sys.stderr))
+    print(stages.report(results))
+    return 1 if any(r.returncode and s.fatal for r in results for s in chain if s.name == r.name) else 0
+
+
 def make_tasks(spark: SparkSession, args) -> int:
     packages = files.harvest_packages(spark, args.root, args.limit)
     n = files.write_tasks(tasks.from_packages(packages, args.repository, args.root), args.out)
@@ -105,8 +138,7 @@ def judge(spark: SparkSession, args) -> int:
         calls = evaluation.rebuild_from_store(config, todo, samples, store, turns)
         whole = evaluation.trajectory.summarised(evaluation.per_turn(calls), turns)
         summary = scoring.run_summary(todo.select(F.col("id").alias("task_id")), samples, whole, evaluation.stored_verdicts(config, whole, store), samples)
-        truncated = whole.where("state = 'truncated'").count()
-        said |= {"scoring": "session_judge", "reproducible": False, "judge_identity": args.identity, "run_id": args.run_id, "truncated": truncated, **_row(scoring.run_report(summary)), "per_task": _rows(summary)}
+        said |= {"scoring": "session_judge", "reproducible": False, "judge_identity": args.identity, "run_id": args.run_id, **_row(scoring.run_report(summary, whole)), "per_task": _rows(summary)}
     print(json.dumps(said, ensure_ascii=False))
     return 0
 
@@ -149,7 +181,8 @@ def preferences(spark: SparkSession, args) -> int:
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="trailforge")
     groups = top.add_subparsers(required=True)
-    data, evaluate = (groups.add_parser(n).add_subparsers(required=True) for n in ("data", "eval"))
+    data, evaluate, chains = (groups.add_parser(n).add_subparsers(required=True) for n in ("data", "eval", "pipeline"))
+    number = lambda flag, value: ([flag], {"type": type(value), "default": value})
 
     def add(group, name, run, *options):
         p = group.add_parser(name)
@@ -159,12 +192,13 @@ def parser() -> argparse.ArgumentParser:
 
     add(data, "measure", measure, (["path"], {}))
     add(data, "go-pairs", code_pairs, (["paths"], {"nargs": "+"}), (["--out"], {}), (["--include-review"], {"action": "store_true"}))
+    add(data, "prepare", prepare, (["paths"], {"nargs": "+"}), (["--out"], {"required": True}), (["--include-review"], {"action": "store_true"}), number("--max-records", 0), number("--max-tokens", 1_000_000))
+    add(chains, "run", pipeline, (["stages"], {}), (["--logs"], {"required": True}), (["--skip"], {"nargs": "*"}))
     add(data, "tasks", make_tasks, (["root"], {}), (["--repository"], {"required": True}), (["--out"], {"required": True}), (["--limit"], {"type": int, "default": 0}))
     add(data, "validate", validate, (["path"], {}), (["--out"], {"required": True}), (["--sanitize"], {"action": "store_true"}), (["--strict"], {"action": "store_true"}))
     stored = [(["tasks"], {}), (["--store"], {"required": True}), (["--run-id"], {"required": True}), (["--out"], {"required": True})]
     add(data, "mine", mine, *stored, (["--min-score"], {"type": float, "default": 1.0}))
     add(data, "preferences", preferences, *stored, (["--min-margin"], {"type": float, "default": 0.0}))
-    number = lambda flag, value: ([flag], {"type": type(value), "default": value})
     model = [([x], {"required": True}) for x in ("--model", "--model-url", "--model-revision", "--dataset-version", "--workspace")]
     model += [number("--samples", 1), number("--max-turns", MAX_TURNS), number("--seed", 0), number("--temperature", 0.0), number("--max-tokens", 4096), (["--system"], {"default": ""}), (["--fixture"], {})]
     add(evaluate, "queue", queue, *stored, *model, *[([x], {"action": "store_true"}) for x in ("--skip-canary", "--allow-local-execution")])

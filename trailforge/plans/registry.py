@@ -102,7 +102,19 @@ def _messages(spark, d):
     return A.table(spark, d, "conversations")
 
 
-_REJECTS = """with m as (select *, lower(role) as r, min(turn) over (partition by conv_id) as first from conversations),
+#: The conversations with faults by the length of a text: roles that are late or unknown, empty texts, reserved tags.
+_FAULTY = """(select conv_id, turn, case when length(text) % 13 = 0 then 'developer' when length(text) % 29 = 0 then 'robot' else role end as role,
+  case when length(text) % 19 = 0 then '' when length(text) % 23 = 0 then '<tool_use>' || text else text end as text from conversations)"""
+
+
+def _faulty(spark, d):
+    n = F.length("text")
+    role = F.when(n % 13 == 0, "developer").when(n % 29 == 0, "robot").otherwise(F.col("role"))
+    text_ = F.when(n % 19 == 0, "").when(n % 23 == 0, F.concat(F.lit("<tool_use>"), "text")).otherwise(F.col("text"))
+    return _messages(spark, d).select("conv_id", "turn", role.alias("role"), text_.alias("text"))
+
+
+_REJECTS = "with m as (select *, lower(role) as r, min(turn) over (partition by conv_id) as first from " + _FAULTY + """),
   b as (select conv_id, turn, r, case when r is null or r not in ('system', 'developer', 'user', 'assistant', 'tool') then 1 when r in ('system', 'developer') and turn <> first then 2
     when r <> 'assistant' and regexp_matches(coalesce(text, ''), '</?(available_tools|tool_use|tool_result)>') then 3 when r = 'assistant' and trim(coalesce(text, ''), E' \\t\\n\\r') = '' then 4 end as rule from m),
   g as (select conv_id, min(case when rule is not null then row(turn, rule) end) as x, count(*) filter (where r = 'user') as u, count(*) filter (where r = 'assistant') as a from b group by conv_id),
@@ -111,12 +123,12 @@ _REJECTS = """with m as (select *, lower(role) as r, min(turn) over (partition b
 
 @query(_REJECTS + " select conv_id, turn, reason from rej")
 def conv_validate(spark, d):
-    return conversation.long_rejects(_messages(spark, d))
+    return conversation.long_rejects(_faulty(spark, d))
 
 
 @query(_REJECTS + " select coalesce(reason, 'admitted') as reason, count(*) as n from rej group by 1")
 def conv_reject_counts(spark, d):
-    return mining.histogram(conversation.long_rejects(_messages(spark, d)))
+    return mining.histogram(conversation.long_rejects(_faulty(spark, d)))
 
 
 @query("""select conv_id, count(*) as turns, cast(count(*) filter (where role = 'user') as bigint) as users, cast(count(*) filter (where role = 'assistant') as bigint) as assistants, cast(sum(length(text)) as bigint) as chars from conversations group by 1""")
@@ -143,6 +155,37 @@ def conv_render(spark, d):
     return render.render_long(_messages(spark, d))
 
 
+_TURN = """u as (select *, cast(sample_index as varchar) as s, case when status = 'harness_error' then '[infrastructure error] gone' else 'v' || k end as shown from turns where turn_index < 8)"""
+
+
+@query(with_views("turns") + ", " + _TURN + """, m as (select *, '{"role":"assistant","content":"' || event_type || '"' || case when has_call then ',"tool_calls":[{"id":"","name":"' || tool_name || '","arguments":"{}"}]' else '' end || '}' ||
+    case when has_call then E'\n{"role":"tool","tool_call_id":"t' || turn_index || '-' || tool_name || '-0","name":"' || tool_name || '","status":"' || status || '","content":"' || shown || '","is_error":' || (status <> 'ok') || '}' else '' end as own from u)
+  select task_id, sample_index, turn_index, sha256('{"role":"user","content":"task ' || task_id || '"}' || coalesce(E'\n' || string_agg(own, E'\n') over (partition by task_id, sample_index order by turn_index rows between unbounded preceding and 1 preceding), '')) as history from m""")
+def traj_history(spark, d):
+    """What the model saw before each turn."""
+    rows = A.turns(spark, d).where("turn_index < 8")
+    none = lambda x, kind: F.when(F.col("has_call"), F.array(x)).otherwise(F.array().cast(kind))
+    call = F.struct(F.lit("").alias("id"), F.col("tool_name").alias("name"), F.lit("{}").alias("arguments"))
+    result = F.struct("tool_name", "status", F.concat(F.lit("v"), "k").alias("stdout"), F.lit("gone").alias("harness_error"), "call_index")
+    calls = none(call, "array<struct<id:string,name:string,arguments:string>>")
+    results = none(result, "array<struct<tool_name:string,status:string,stdout:string,harness_error:string,call_index:int>>")
+    turns = rows.select(*trajectory.SAMPLE, "turn_index", F.col("event_type").alias("text"), F.concat(F.lit("task "), "task_id").alias("prompt"), calls.alias("calls"), results.alias("results"))
+    return trajectory.history(turns).select(*trajectory.SAMPLE, "turn_index", F.sha2(F.array_join("history", "\n"), 256).alias("history"))
+
+
+_NESTED = """, c as (select conv_id, turn, r as role, '{"role": ' || to_json(case when r in ('system', 'developer') then 'system' else r end) || ', "content": ' || to_json(text) || ', "reasoning_content": "", "tool_calls": [], "results": [], "images": []}' as shown from m),
+  whole as (select conv_id, '{"messages": [' || string_agg(shown, ', ' order by turn) || '], "tools": []}' as conversation, count(*) filter (where role = 'tool') as results from c group by 1)"""
+
+
+@query(_REJECTS + _NESTED + """ select conv_id, case when reason is null and results > 0 then 'no_results' else reason end as reason, case when reason is null and results = 0 then sha256(conversation) end as conversation from whole join rej using (conv_id)""")
+def conv_normalize(spark, d):
+    """Whole nested records, normalised one by one; a tool turn without results is refused."""
+    turn = F.struct("turn", F.struct("role", F.col("text").alias("content")).alias("m"))
+    rows = _faulty(spark, d).withColumn("role", F.lower("role")).groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("x"))
+    raw = rows.select("conv_id", F.to_json(F.struct(F.transform("x", lambda x: x["m"]).alias("messages"))).alias("value"))
+    return conversation.normalize_records(raw).select("conv_id", "reason", F.sha2("conversation", 256).alias("conversation"))
+
+
 _TAGS = "text"
 for _tag in ("<available_tools>", "</available_tools>", "<tool_use>", "</tool_use>", "<tool_result>", "</tool_result>"):
     _TAGS = f"replace({_TAGS}, '{_tag}', '‹{_tag[1:]}')"
@@ -251,10 +294,13 @@ def judge_queue(spark, d):
 
 @query(with_views("turns", "traj", "tasks", "spine", "verdicts") + """, q as (select task_id, sample_index from traj where state <> 'unfinished')
   select 'unknown_key' as problem, task_id || '#' || sample_index as key from verdicts where (task_id, sample_index) not in (select (task_id, sample_index) from q)
+  union all select 'duplicate_key', task_id || '#' || sample_index from verdicts where score = 0
   union all select 'missing_key', task_id || '#' || sample_index from q where (task_id, sample_index) not in (select (task_id, sample_index) from verdicts)""")
 def verdict_integrity(spark, d):
+    """Verdicts of score 0 are there twice."""
     queue = _trajectories(spark, d).where("state <> 'unfinished'").select(*trajectory.SAMPLE)
-    return scoring.verdict_problems(A.verdicts(spark, d), queue, trajectory.SAMPLE)
+    verdicts = A.verdicts(spark, d)
+    return scoring.verdict_problems(verdicts.unionByName(verdicts.where("score = 0")), queue, trajectory.SAMPLE)
 
 
 def _scored(spark, d):
@@ -291,6 +337,7 @@ def reward_lists(spark, d):
 # Agent corpus
 
 _MEASURED = with_views("turns", "measured", "counts")
+_PLANTED = with_views("turns", "measured").replace("measured as", "whole as") + ",\n" + A.SQL["planted"] + ",\n" + A.SQL["counts"]
 _TOTALS = """, m as (select count(*) as trajectories, count(distinct repository) as repositories, count(distinct repository || '/' || package) as packages, count(*) filter (where len(tools) >= 2) / count(*) as multi_turn_fraction,
   avg(case when total > 0 then supervised / total else 0 end) as supervised_fraction, (select max(n) from (select count(*) as n from measured group by repository)) / count(*) as largest_repository_fraction,
   count(*) filter (where has_thinking) / count(*) as thinking_fraction, 0.0::double as image_fraction, cast(sum(total) as bigint) as total_tokens, cast(sum(supervised) as bigint) as supervised_tokens from measured)"""
@@ -310,22 +357,23 @@ def corpus_measure(spark, d):
 _CATALOGUE = ", cat as (select n as tool, coalesce(calls, 0) as calls, coalesce(coverage, 0) as coverage from (select unnest([" + ", ".join(f"'{n}'" for n in tools.NAMES) + "]) as n) left join counts on tool = n)"
 
 
-@query(_MEASURED + _TOTALS + _CATALOGUE + """ select name, round(measured, 6) as measured, required from (
+@query(_PLANTED + _TOTALS + _CATALOGUE + """ select name, round(measured, 6) as measured, required from (
   select 'tool_undertrained:' || tool as name, case when calls < 50 then calls else coverage end as measured, case when calls < 50 then 50.0 else 0.02 end::double as required, calls < 50 or coverage < 0.02 as wrong from cat union all
+  select 'tools_outside_catalogue', count(*), 0.0, count(*) > 0 from counts where tool = 'go_vet' union all
   select 'too_few_multi_turn', multi_turn_fraction, 0.3, multi_turn_fraction < 0.3 from m union all select 'too_few_supervised_tokens', supervised_fraction, 0.1, supervised_fraction < 0.1 from m union all
   select 'one_repository_dominates', largest_repository_fraction, 0.8, largest_repository_fraction > 0.8 from m union all select 'too_few_packages', packages, 200, packages < 200 from m) where wrong""")
 def corpus_findings(spark, d):
-    rows = A.measured(spark, d)
+    rows = A.planted(spark, d)
     return agentcorpus.findings(agentcorpus.measure(rows), agentcorpus.tool_counts(rows)).withColumn("measured", F.round("measured", 6))
 
 
-@query(_MEASURED + _TOTALS + _CATALOGUE + """ select tool, blocked_by, missing_calls, round(coverage, 6) as current_coverage, trajectories_needed, records_to_extend from (
+@query(_PLANTED + _TOTALS + _CATALOGUE + """ select tool, blocked_by, missing_calls, round(coverage, 6) as current_coverage, trajectories_needed, records_to_extend from (
   select tool, case when calls < 50 and coverage < 0.02 then 'calls_and_coverage' when calls < 50 then 'calls' else 'coverage' end as blocked_by, cast(greatest(0, 50 - calls) as bigint) as missing_calls, coverage,
     cast(case when calls < 50 and coverage < 0.02 then ceil((50 - calls) / greatest(0.02, coverage)) else 0 end as bigint) as trajectories_needed,
     cast(case when calls >= 50 then greatest(0, ceil(0.02 * trajectories) - round(coverage * trajectories)) else 0 end as bigint) as records_to_extend from cat, m where calls < 50 or coverage < 0.02
   union all select null, 'multi_turn', 0, multi_turn_fraction, cast(greatest(0, ceil(0.3 * trajectories) - round(multi_turn_fraction * trajectories)) as bigint), 0 from m where multi_turn_fraction < 0.3)""")
 def next_targets(spark, d):
-    rows = A.measured(spark, d)
+    rows = A.planted(spark, d)
     return agentcorpus.next_targets(agentcorpus.measure(rows), agentcorpus.tool_counts(rows)).withColumn("current_coverage", F.round("current_coverage", 6))
 
 
@@ -345,10 +393,11 @@ def store_conflicts(spark, d):
     return store.conflicts(_keyed(spark, d))
 
 
-@query(_KEYED + " select distinct a.key from k a where event_id % 5 = 0 and not exists (select 1 from k b where b.key = a.key and b.event_id % 7 = 0)")
+@query(_KEYED + " select distinct a.key from k a where not exists (select 1 from k b where b.key = a.key and b.stage <> 'judge')")
 def resume_pending(spark, d):
+    """Every key is requested; results of the generate and execute stages are stored."""
     rows = _keyed(spark, d)
-    return store.pending(rows.where("event_id % 5 = 0"), rows.where("event_id % 7 = 0")).select("key").distinct()
+    return store.pending(rows, rows.where("stage <> 'judge'")).select("key").distinct()
 
 
 def _log(spark, d):
@@ -360,10 +409,12 @@ def stage_stats(spark, d):
     return store.stage_stats(_log(spark, d))
 
 
-@query(_KEYED + " select case when stored is null then 'missing' else 'different' end as problem, count(*) as n from (select a.key, min(a.payload) as new, min(b.payload) as stored from k a left join (select key, min(payload) as payload from k where event_id % 7 = 0 group by 1) b using (key) where event_id % 5 = 0 group by 1) where stored is null or new <> stored group by 1")
+@query(_KEYED + " select case when stored is null then 'missing' else 'different' end as problem, count(*) as n from (select a.key, max(a.payload) as new, min(b.payload) as stored from k a left join (select key, min(payload) as payload from k where stage = 'generate' group by 1) b using (key) group by 1) where stored is null or new <> stored group by 1")
 def idempotency_report(spark, d):
-    one = lambda m: _keyed(spark, d).where(f"event_id % {m} = 0").groupBy("key").agg(F.min("payload").alias("payload"))
-    return store.verify(one(7), one(5)).groupBy("problem").agg(F.count("*").alias("n"))
+    """The largest payload of every key against what the generate stage has stored, its smallest."""
+    rows = _keyed(spark, d)
+    stored = rows.where("stage = 'generate'").groupBy("key").agg(F.min("payload").alias("payload"))
+    return store.verify(stored, rows.groupBy("key").agg(F.max("payload").alias("payload"))).groupBy("problem").agg(F.count("*").alias("n"))
 
 
 _CONFIG = {"model_id": "m", "model_revision": "r1", "format_version": "anthropic-tools-v1", "template_sha": "t", "harness_version": "0.2.0", "dataset_version": "d1", "seed": 7, "decode_params": {"top_p": 0.9, "max_tokens": 64}, "tool_catalog_sha": "c", "image_digest": ""}
@@ -383,7 +434,12 @@ def _lengths(spark, d):
     return A.table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.greatest(F.length("text"), F.lit(1)).cast("long").alias("length"))
 
 
-@query()
+@query("""with recursive d as (select doc_id as id, cast(greatest(length(text), 1) as bigint) as length, ('0x' || substr(md5('0:' || doc_id), 1, 15))::bigint % (select greatest(1, (count(*) + 255) // 256) from documents) as chunk from documents),
+  o as (select *, row_number() over (partition by chunk order by length, id) as i from d),
+  r as (select id, length, chunk, i, 0 as batch, 0 as place, length as first from o where i = 1 union all
+    select o.id, o.length, o.chunk, o.i, case when x then batch + 1 else batch end, case when x then 0 else place + 1 end, case when x then o.length else first end
+    from (select r.*, o.id as oid, place + 1 >= 8 or o.length > 4 * first as x from r join o on o.chunk = r.chunk and o.i = r.i + 1) r join o on o.id = r.oid)
+  select id, length, chunk, batch, place from r""")
 def length_batches(spark, d):
     return batching.length_batches(_lengths(spark, d), 8)
 
@@ -395,7 +451,12 @@ def padding_waste(spark, d):
     return found.withColumn("waste", F.round("waste", 6))
 
 
-@query()
+@query("""with d as (select doc_id, text, case when text like E'%\n' then list_slice(string_split(text, E'\n'), 1, -2) else string_split(text, E'\n') end as lines from documents),
+  n as (select *, len(lines) as n from d), l as (select doc_id, i, length(lines[i]) + 1 as size from n, unnest(range(1, n + 1)) t(i) where length(text) > 2000),
+  a as (select *, sum(size) over (partition by doc_id order by i) as upto from l), h as (select doc_id, count(*) filter (where upto <= 968) as head from a group by 1),
+  b as (select a.doc_id, sum(size) over (partition by a.doc_id order by i desc) as back from a join h using (doc_id) where i > head), t as (select doc_id, count(*) filter (where back <= 968) as tail from b group by 1)
+  select doc_id, case when length(text) <= 2000 then text else coalesce(array_to_string(list_transform(lines[1:head], lambda x: x || E'\n'), ''), '') || E'\n... (+' || (n - head - coalesce(tail, 0)) || E' more lines truncated)\n'
+    || coalesce(array_to_string(list_transform(lines[n - coalesce(tail, 0) + 1:n], lambda x: x || E'\n'), ''), '') end as shown from n left join h using (doc_id) left join t using (doc_id)""")
 def truncate_text(spark, d):
     return A.table(spark, d, "documents").select("doc_id", text.truncate_output(F.col("text"), 2000).alias("shown"))
 
