@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -151,6 +152,98 @@ def test_mixing_of_small_sources_beside_a_hot_one(spark):
         assert all(abs(taken[s] - t) <= 0.5 for s, t in target.items())
 
 
+def slow_mix(rows, slots):
+    """taken and first slot of each row: targets by repeated resharing, the schedule point by point, documents on one line."""
+    import struct
+
+    import xxhash
+
+    weights, share, cap = (5, 2, 1), 1.5, 2.0
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    first_hash = lambda i: xxhash.xxh64(struct.pack("<q", i), seed=42).intdigest()
+    second = lambda i: signed(xxhash.xxh64(struct.pack("<i", 7), seed=first_hash(i)).intdigest())
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, _ in rows}
+    sources = sorted({s for *_, s in rows}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(size[i] for i, _, x in rows if x == s) for s in sources}
+    words = sum(total.values())
+    weight = {s: weights[k % 3] for k, s in enumerate(sources)}
+    full: set = set()
+    while True:
+        rest = share * words - sum(cap * total[s] for s in full)
+        level = rest / max(1, sum(weight[s] for s in sources if s not in full))
+        over = {s for s in sources if s not in full and level * weight[s] > cap * total[s]}
+        if not over:
+            break
+        full |= over
+    target = {s: cap * total[s] if s in full else level * weight[s] for s in sources}
+    goal = {s: min(max(round(target[s]), 1), int(total[s] * cap)) if target[s] > 0 else 0 for s in sources}
+    block = max(1, math.ceil(share * words / slots))
+    n_slots = math.ceil(share * words / block)
+    blocks = {s: [] for s in sources}
+    for t in range(n_slots):
+        u = (t + 0.5) * mixing.INV_PHI
+        u -= math.floor(u)
+        at = 0.0
+        for s in sources:
+            at += target[s] / sum(target.values())
+            if u < at or s == sources[-1]:
+                blocks[s].append(t)
+                break
+    lacking = sorted((b, k, s) for k, s in enumerate(sources) for b in range(len(blocks[s]), math.ceil(goal[s] / block)))
+    for n, (_, _, s) in enumerate(lacking):
+        blocks[s].append(n_slots + n)
+    found, buckets = {}, max(1, math.isqrt(len(rows)))
+    for s in sources:
+        own = sorted((i for i, _, x in rows if x == s), key=lambda i: (signed(first_hash(i)) % buckets, second(i), i))
+        at = 0
+        for i in own:
+            taken, slot = 0, None
+            for epoch in range(2):
+                a = at + epoch * total[s]
+                b = min(a + size[i], goal[s])
+                if b > a:
+                    taken += b - a
+                    slot = min([*blocks[s][a // block : (b - 1) // block + 1], *([slot] if slot is not None else [])])
+            found[i] = (taken, slot, target[s])
+            at += size[i]
+    return found
+
+
+@pytest.mark.parametrize("slots", [7, 60, 1000])
+def test_mixing_by_brute_force(spark, slots):
+    rng = random.Random(slots)
+    rows = [(i, " ".join("w" * rng.randrange(1, 5) for _ in range(rng.randrange(40) if i % 9 else 300)), rng.choice(["a", "a", "a", "a", "b", "c", "d", None])) for i in range(150)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = slow_mix(rows, slots)
+    for r in mixing.mix(d, slots=slots).collect():
+        taken, slot, target = want[r.doc_id]
+        assert (r.taken, r.first_slot) == (taken, slot) and abs(r.target - target) < 1e-6 * max(1, target)
+
+
+def test_pipeline_stages_on_awkward_rows(spark):
+    """Nulls, repeated rows, ties, very long texts and columns with clashing names pass through every stage."""
+    import corpus_pipeline
+    from trailforge.llm.common import written
+
+    from pyspark.sql import functions as F
+
+    own = table(spark, SF, "documents").withColumn("size", F.lit(7)).withColumn("id", F.lit("x"))
+    odd = docs(spark).select((F.col("doc_id") + 100_000).alias("doc_id"), "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"), F.col("size").cast("int").alias("size"), "id")
+    nameless = own.where("doc_id % 9 = 0").withColumn("doc_id", F.lit(None).cast("long"))
+    nothing_at_all = own.limit(1).select(*[F.lit(None).cast(own.schema[c].dataType).alias(c) for c in own.columns])
+    d = written(own.unionByName(own.where("doc_id % 4 = 0")).unionByName(odd).unionByName(nameless).unionByName(nothing_at_all), "test")
+    columns = d.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before = d.count()
+        d = written(stage(spark, d, SF), "test")
+        if name != "bpe":
+            assert d.columns == columns
+        if name in ("quality", "near_dups"):
+            assert 0 < d.count() <= before
+        if name in ("pii", "bpe"):
+            assert d.count() == before
+
+
 def test_mixing_edges(spark):
     assert mixing.mix(nothing(spark)).count() == 0
     d = docs(spark)

@@ -12,7 +12,7 @@ winner's share of all languages' corrected counts.
 
 Defined cases: `und` with score 0 for null text, text without a letter, or nothing learned; without a hit the most
 frequent learned language with score 0; rows with null text or lang don't train; repeated rows count as often as they
-occur; an empty table gives an empty result. Only doc_id, text and lang are read, so others may have any name.
+occur; rows without doc_id are predicted as others, and held_out() takes their id for ''; an empty table gives an empty result. Only doc_id, text and lang are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -13,10 +13,11 @@
 
 Prefix sums never gather a source in one task: documents are dealt to about sqrt(rows) hash buckets per source, only
 the buckets' sums are ordered per source, and documents are ordered inside their bucket. Slots are ranked alike, by
-chunks of slots. Only the table of sources (one row each) is ordered as a whole.
+chunks of slots. Only the table of sources (one row each) is ordered as a whole, in one task: that holds for millions of
+sources, whose rows are some ten bytes each, and is no way for sources as many as documents.
 
 Defined cases: null text has size 0; null source is a source of its own, the last; documents of size 0 take 0;
-repeated rows are rows of their own; an empty table gives an empty result. Only doc_id, source and text are read, so
+repeated rows are rows of their own; rows without doc_id are shuffled by their text, and in copies() count as one document; an empty table gives an empty result. Only doc_id, source and text are read, so
 other columns may have any name.
 """
 
@@ -40,8 +41,9 @@ INV_PHI = (math.sqrt(5) - 1) / 2
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words; null text: 0)."""
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    """doc_id, source, size (words; null text: 0), hash (of doc_id, or of the text of a row without one)."""
+    own = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("null"), "text")).otherwise(F.xxhash64("doc_id"))
+    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), own.alias("hash"))
 
 
 def targets(base: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -101,13 +103,13 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, share: float = SHARE, cap: float =
     block = max(1, min(longest_block, math.ceil(share * words / slots)))
     n_slots = math.ceil(share * words / block)
     plan = filled(written(schedule(aims, n_slots), "mix-plan"), aims, n_slots, block)
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, math.isqrt(count))))
+    bucket = F.pmod(F.col("hash"), F.lit(max(1, math.isqrt(count))))
     base = base.withColumn("bucket", bucket)
     buckets = base.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
     buckets = buckets.join(aims, buckets["source"].eqNullSafe(aims["source"])).select(buckets["source"].alias("b_source"), F.col("bucket").alias("b_bucket"), "start", "sid", "source_size", "target", "goal")
-    inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "size")
+    inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "hash", "size")
     laid = base.withColumn("no", F.row_number().over(inside)).withColumn("offset", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     laid = laid.join(buckets, laid["source"].eqNullSafe(buckets["b_source"]) & (laid["bucket"] == buckets["b_bucket"]))
     laid = laid.withColumn("offset", F.col("offset") + F.col("start"))
