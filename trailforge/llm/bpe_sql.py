@@ -79,13 +79,11 @@ ALL_PAIRS = """
       anti join met g on g.w = s.w and g.gone = s.pos
 """
 
-ENCODE = """
-create or replace temp table last as
+RECURSION = """
 with recursive s(w, pos, tok, nx, nt, step) as (
   select w, pos, tok, nx, nt, 0 from pieces
   union all ({step})
-)
-select s.* from s join (select w, max(step) as step from s group by w) e on e.w = s.w and e.step = s.step
+), last as (select s.* from s join (select w, max(step) as step from s group by w) e on e.w = s.w and e.step = s.step)
 """
 
 DECODE = """
@@ -144,30 +142,37 @@ class Merger:
         rest = [w for w, r in enumerate(whole) if r is None]
         done = [w for w, r in enumerate(whole) if r is not None]
         self.open()
-        self.con.register("known", pa.table({"w": pa.array(done, pa.int32()), "pos": pa.array([0] * len(done), pa.int32()), "tok": pa.array([whole[w] for w in done], pa.int32())}))
-        self.con.execute("create or replace temp table tokens as select * from known")
-        self.con.unregister("known")
         raw = np.frombuffer(b"".join([pieces[w] for w in rest]), np.uint8)
         sizes = np.array([len(pieces[w]) for w in rest], np.int64)
-        if len(raw):
-            longest = int(sizes.max())
-            pos = (np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
-            tok = self.byte_ids[raw]
-            follows = np.append(tok[1:], np.int32(-1))
-            follows[np.cumsum(sizes) - 1] = -1  # no merge has it
-            live = pa.table({"w": np.repeat(np.array(rest, np.int32), sizes), "pos": pos, "tok": tok, "nx": pos + np.int32(1), "nt": follows})
+        longest = int(sizes.max(initial=0))
+        pos = (np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+        tok = self.byte_ids[raw]
+        follows = np.append(tok[1:], np.int32(-1))
+        follows[np.cumsum(sizes) - 1] = -1  # no merge has it
+        live = pa.table({"w": np.repeat(np.array(rest, np.int32), sizes), "pos": pos, "tok": tok, "nx": pos + np.int32(1), "nt": follows[: len(raw)]})
+        self.con.register("known", pa.table({"w": pa.array(done, pa.int32()), "pos": pa.array([0] * len(done), pa.int32()), "tok": pa.array([whole[w] for w in done], pa.int32())}))
+        if longest <= STEPS:  # one query sees all to the end
+            found = self._read(RECURSION.format(step=ONE_PAIR.format(steps=STEPS)) + ", tokens as (select w, pos, tok from last union all select * from known)" + DECODE, live)
+        else:
+            self.con.execute("create or replace temp table tokens as select * from known")
             self.con.execute(f"set memory_limit = '{max(MEMORY_MB, longest * 600 // 1_000_000)}MB'")
             while live.num_rows:
                 steps = max(1, min(STEPS, KEPT_ROWS // live.num_rows))
                 self.con.register("pieces", live)
-                self.con.execute(ENCODE.format(step=(ONE_PAIR if longest <= SHORT else ALL_PAIRS).format(steps=steps)))
+                self.con.execute("create or replace temp table last as " + RECURSION.format(step=(ONE_PAIR if longest <= SHORT else ALL_PAIRS).format(steps=steps)) + "select * from last")
                 self.con.unregister("pieces")
                 self.con.execute(f"insert into tokens select w, pos, tok from last where step < {steps}")
                 live = self.con.sql(f"select w, pos, tok, nx, nt from last where step = {steps}").to_arrow_table()
-        return self._decoded()
-
-    def _decoded(self) -> tuple[list[int], list[str], list[str]]:
-        found = self.con.sql(DECODE).to_arrow_table()
+            found = self._read(DECODE)
+        self.con.unregister("known")
+        return found
+
+    def _read(self, query: str, pieces: pa.Table | None = None) -> tuple[list[int], list[str], list[str]]:
+        if pieces is not None:
+            self.con.register("pieces", pieces)
+        found = self.con.sql(query).to_arrow_table()
+        if pieces is not None:
+            self.con.unregister("pieces")
         return tuple(found.column(c).to_pylist() for c in ("w", "hex", "ids"))
 
     def decode(self, tokens: pa.Table) -> tuple[list[int], list[str], list[str]]:
@@ -176,7 +181,7 @@ class Merger:
         self.con.register("given", tokens)
         self.con.execute("create or replace temp table tokens as select * from given")
         self.con.unregister("given")
-        return self._decoded()
+        return self._read(DECODE)
 
 
 def chunks(pieces: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -219,20 +224,15 @@ class Codec:
     def run(self, texts: list) -> Iterator[list[tuple[str, bytes]]]:
         """For each text, (ids in decimal, decoded bytes) of its pieces."""
         cut = [self.find(t) if t else [] for t in texts]
-        met: set[str] = set()
-        for pieces in cut:
-            met.update(pieces)
-        held, again = {}, {}
-        for p in met:
-            if (x := self.proven.get(p)) is not None:
-                held[p] = x
-            elif (x := self.young.get(p)) is not None:
-                again[p] = x
+        met = set().union(*cut)
+        old = met & self.proven.keys()
+        again = (met - old) & self.young.keys()
+        held = dict(zip(old, map(self.proven.__getitem__, old), strict=True))
         if len(self.proven) + len(again) > self.most:
             self.proven = held.copy()
-        self.proven.update(again)
-        held.update(again)
-        new = dict(self._learned([p for p in met if p not in held]))
+        for p in again:
+            held[p] = self.proven[p] = self.young[p]
+        new = dict(self._learned(list(met - old - again)))
         if len(self.young) + len(new) > self.most:
             self.young = {}
         self.young.update(new)
