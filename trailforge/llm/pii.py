@@ -52,6 +52,7 @@ LEAST_DIGITS = 4
 CONTEXT = 48
 SHAPE = "s "
 BLOCK = 256
+MOST_BROADCAST = 100_000
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 ROW = ("doc_id", "text_hash")
 OTHER = ("o_id", "o_hash")
@@ -234,23 +235,23 @@ def _spans(docs: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame, text_too: bool = False) -> DataFrame:
-    """doc_id, base (spans), spans (base and discovered, sorted) and, if asked for, all columns of docs in a struct `row`."""
+    """doc_id, base (spans), spans (base and discovered, sorted) and, if asked for, all columns of docs in a struct `row`.
+
+    With texts, base spans are found anew in each row, so that only discovered ones are joined and no text leaves its task;
+    they are broadcast if there are MOST_BROADCAST at most."""
     with Scratch(docs.sparkSession) as scratch:
         rows = scratch.keep(_spans(docs))
         found = written(occurrences(rows), "pii-occurrences")
         new = discovered(found, confident_patterns(found))
         new = new.groupBy(*ROW).agg(F.collect_set(F.struct("start", "kind", "end")).alias("new"))
         new = scratch.keep(written(_other(new), "pii-new"))
-    met = rows.select(*ROW, "base").join(new, _same(), "left")
+    if text_too:
+        text = F.coalesce(F.col("text"), F.lit(""))
+        rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), base_spans(text).alias("base"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    few = (new.agg(F.sum(F.size("new"))).head()[0] or 0) <= MOST_BROADCAST
+    met = rows.join(F.broadcast(new) if few else new, _same(), "left")
     spans = F.when(F.col("new").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", F.col("new").cast(SPAN))))
-    met = met.select(*ROW, "base", spans.alias("spans"))
-    if not text_too:
-        return met.drop("text_hash")
-    some = _other(met.where(F.size("spans") > 0).dropDuplicates(ROW))
-    whole = docs.select("doc_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    none = F.from_json(F.lit("[]"), SPAN)
-    met = whole.join(some, _same(), "left")
-    return met.select("doc_id", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"), "row")
+    return met.select("doc_id", "base", spans.alias("spans"), *(["row"] if text_too else []))
 
 
 def held_out(docs: DataFrame, one_in: int = 5) -> DataFrame:
