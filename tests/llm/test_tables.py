@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -367,6 +368,33 @@ def test_revisits_by_either_join(spark, few, monkeypatch):
     assert found == {i: ("response", None) if i % 7 == 0 or i < 7 else ("revisit", i % 7) for i in range(60)}
 
 
+def test_an_operator_sends_the_package_itself(tmp_path):
+    """In a fresh session, with the package known to the driver only, and no query before."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(near_dups.__file__).parents[2])!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+docs = spark.createDataFrame([(i, "one two three four five six " * 3 + str(i)) for i in range(4)], "doc_id long, text string")
+from trailforge.llm import near_dups
+assert near_dups.near_dups(docs).count() == 4
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300, check=False)
+    assert done.returncode == 0, done.stderr[-2000:]
+    for _ in range(60):  # the application's tables go with it
+        if not list((tmp_path / "shared").rglob("*.parquet")):
+            break
+        time.sleep(0.5)
+    else:
+        raise AssertionError("tables were left behind")
+
+
 def test_each_thread_has_its_own_scratch(spark):
     import threading
 

@@ -113,6 +113,19 @@ def test_counts_are_the_library_s(spark):
     assert token_counts.count_tokens(nothing(spark), JSON).count() == 0
 
 
+def test_pairs_that_stay_apart():
+    """The walk over both tokens' merges against plain contraction of their bytes."""
+    merges = token_counts.Counter(JSON).merges
+    assert merges.ordered
+    rng = random.Random(1)
+    every = list(merges.known.values())
+    short = [i for t, i in merges.known.items() if len(t) <= 3]
+    for n in range(20_000):
+        a, b = (rng.choice(short), rng.choice(short)) if n % 2 else (rng.choice(every), rng.choice(every))
+        b = a if n % 5 == 0 else b
+        assert merges.stays_apart(a, b) == (merges.encode(merges.bytes_of[a] + merges.bytes_of[b]) == [a, b])
+
+
 def test_texts_without_a_space():
     """Chunks of fixed length: neither spaces nor full stops are needed to cut a text."""
     from tokenizers import Tokenizer

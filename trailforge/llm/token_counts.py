@@ -73,21 +73,54 @@ class Merges:
         for r, m in enumerate(model["merges"]):
             a, b = map(to_bytes, m if isinstance(m, list) else m.split(" "))
             self.rank[self.ids[a], self.ids[b]] = r, self.ids[a + b]
-        self.known = {t: i for t, i in self.ids.items() if self.encode(t) == [i]}
+        self.known: dict[bytes, int] = {}
+        self.made: dict[int, tuple[int, int, int]] = {}  # rank, left and right part of the merge that makes a token; rank -1: a byte
+        for t, i in self.ids.items():
+            ids, last = self.contracted(t)
+            if ids == [i]:
+                self.known[t] = i
+                self.made[i] = last
+        whole = {i: r for i, (r, _, _) in self.made.items()}
+        #: Whether every merge comes after those that make its parts: then tokens grow in the order of ranks.
+        self.ordered = all(r > max(whole[x], whole[y]) for (x, y), (r, _) in self.rank.items() if x in whole and y in whole)
         self.begins = {t[:k] for t in self.known for k in range(len(t))}
         self.follows: dict[tuple[int, int], bool] = {}
 
-    def encode(self, piece: bytes) -> list[int]:
-        """Plain contraction, for short pieces."""
-        tokens = [self.ids[piece[i : i + 1]] for i in range(len(piece))]
+    def contracted(self, piece: bytes) -> tuple[list[int], tuple[int, int, int]]:
+        """Plain contraction, for short pieces, and its last merge."""
+        tokens, last = [self.ids[piece[i : i + 1]] for i in range(len(piece))], (-1, 0, 0)
         while len(tokens) > 1:
             best = min(((*self.rank[p], i) for i, p in enumerate(zip(tokens, tokens[1:], strict=False)) if p in self.rank), default=None, key=lambda x: (x[0], x[2]))
             if best is None:
                 break
+            last = best[0], *tokens[best[2] : best[2] + 2]
             tokens[best[2] : best[2] + 2] = [best[1]]
-        return tokens
+        return tokens, last
+
+    def encode(self, piece: bytes) -> list[int]:
+        return self.contracted(piece)[0]
+
+    def stays_apart(self, a: int, b: int) -> bool:
+        """Whether no merge joins the end of a with the start of b while these grow. Their parts at the border are met from the
+        last merge backwards; two that are there at the same time would merge if the rank is below those of the merges that take
+        them away, of which an equal one to the left comes first."""
+        until_a = until_b = float("inf")
+        while True:
+            hit = self.rank.get((a, b))
+            if hit is not None and hit[0] < until_a and hit[0] <= until_b:
+                return False
+            (rank_a, _, end), (rank_b, start, _) = self.made[a], self.made[b]
+            if rank_a > rank_b:
+                a, until_a = end, rank_a
+            elif rank_b >= 0:
+                b, until_b = start, rank_b
+            else:
+                return True
 
     def may_follow(self, a: int, b: int) -> bool:
+        """Whether the two encode to themselves. a, b: known tokens."""
+        if self.ordered:
+            return self.stays_apart(a, b)
         found = self.follows.get((a, b))
         if found is None:
             if len(self.follows) >= PAIRS:
