@@ -59,6 +59,32 @@ def test_entry(spark):
     assert set(registry.QUERIES) <= set(__spark_entry__.queries()) and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
+def run_alone(code, folder):
+    """A script of its own in a fresh interpreter that knows the repository only by sys.path."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    head = f"import sys; sys.path.insert(0, {str(Path(registry.__file__).parents[2])!r})\n"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    return subprocess.run([sys.executable, "-c", head + code], cwd=folder, env=env, capture_output=True, text=True, timeout=300, check=False)
+
+
+def test_a_missing_library_costs_the_optional_parts_only(tmp_path):
+    code = """
+class Blocked:
+    def find_spec(self, name, *_):
+        if name in ("xxhash", "zstandard", "public_tokenizers"):
+            raise ModuleNotFoundError(name, name=name)
+sys.meta_path.insert(0, Blocked())
+import __spark_entry__
+from trailforge.plans import registry
+assert set(__spark_entry__.queries()) == set(registry.QUERIES)
+"""
+    done = run_alone(code, tmp_path)
+    assert done.returncode == 0, done.stderr
+
+
 def test_core_stands_alone():
     """Nothing outside the optional subpackage imports it."""
     import re

@@ -28,21 +28,40 @@ Reply with JSON only, no prose and no code fence:
 {"pass": true|false, "reason": "<one sentence>"}"""
 
 
+# The layout of what a judge reads.
+LAYOUT = {
+    "task": "## Task\nid: {id}\nprompt: {prompt}\n",
+    "truncated": "## Note\nThe engineer hit the turn limit while still calling tools; the work is incomplete.\n",
+    "turn": "## Turn {turn}",
+    "text": "engineer: {text}",
+    "call": "calls {name}({arguments})",
+    "execution": "-> {tool_name} exit={exit_code} status={status}",
+    "lost": "[infrastructure error] {harness_error}",
+}
+
+
+def _shown(execution: dict) -> list[str]:
+    """An execution's line, and its output or fault if it has one."""
+    line = LAYOUT["execution"].format(**{k: execution.get(k) for k in ("tool_name", "exit_code", "status")})
+    output = str(execution.get("stdout", "")).strip()
+    if not output and execution.get("harness_error"):
+        output = LAYOUT["lost"].format(**execution)
+    return [line, output] if output else [line]
+
+
 def render(record: dict) -> str:
     """A trajectory as text: the task, each turn's text, calls and executions in full."""
     task = record.get("task") or {}
-    parts = [f"## Task\nid: {task.get('id', 'unknown')}\nprompt: {task.get('prompt', '')}\n"]
+    parts = [LAYOUT["task"].format(id=task.get("id", "unknown"), prompt=task.get("prompt", ""))]
     if record.get("truncated"):
-        parts.append("## Note\nThe engineer hit the turn limit while still calling tools; the work is incomplete.\n")
+        parts.append(LAYOUT["truncated"])
     for turn in record.get("turns") or []:
         said = turn.get("generated") or {}
-        own = [f"## Turn {turn.get('turn', '?')}"]
-        own += [f"engineer: {said['text']}"] if said.get("text") else []
-        own += [f"calls {c.get('name', '?')}({sorted_spaced(c.get('arguments', {}))})" for c in said.get("tool_calls") or []]
-        for x in turn.get("executions") or []:
-            own.append(f"-> {x.get('tool_name')} exit={x.get('exit_code')} status={x.get('status')}")
-            shown = str(x.get("stdout", "")).strip() or (f"[infrastructure error] {x['harness_error']}" if x.get("harness_error") else "")
-            own += [shown] if shown else []
+        own = [LAYOUT["turn"].format(turn=turn.get("turn", "?"))]
+        if said.get("text"):
+            own.append(LAYOUT["text"].format(text=said["text"]))
+        own += [LAYOUT["call"].format(name=c.get("name", "?"), arguments=sorted_spaced(c.get("arguments", {}))) for c in said.get("tool_calls") or []]
+        own += [line for x in turn.get("executions") or [] for line in _shown(x)]
         parts.append("\n".join(own) + "\n")
     return "\n".join(parts)
 

@@ -149,11 +149,18 @@ class ResultStore:
         out.write(bytearray(canonical(manifest).encode()))
         out.hsync()
         out.close()
-        if fs.exists(path):
-            fs.delete(path, False)
-        fs.rename(temporary, path)
+        self._replace(temporary, path)
         return manifest
 
+    def _replace(self, source, target) -> None:
+        """Rename in one step, over what may be there: a reader sees the old file or the new one."""
+        sc = self.spark.sparkContext
+        hadoop = sc._jvm.org.apache.hadoop.fs
+        kind = getattr(hadoop, "Options$Rename")
+        options = sc._gateway.new_array(kind, 1)
+        options[0] = kind.OVERWRITE
+        hadoop.FileContext.getFileContext(target.toUri(), sc._jsc.hadoopConfiguration()).rename(source, target, options)
+
     def manifest(self, run_id: str) -> dict | None:
         fs, path = self._fs(f"{self.root}/runs/{_run(run_id)}.json")
         if not fs.exists(path):

@@ -10,24 +10,13 @@ from ..schemas import MAX_TURNS
 SAMPLE = ("task_id", "sample_index")
 
 
-def rebuild(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
-    """A row per task and sample with turns, whether a whole trajectory or not.
+def summarised(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
+    """A row per task and sample with turns: state, and n_turns, n_calls, n_executed, n_harness, n_tool_error, n_model_error, n_ok
+    of the turns up to the end.
 
     turns: task_id, sample_index, turn_index, has_call, tool_name, status (null: not executed). state is `finished` (a
     turn without a call ends it and all before are there), `truncated` (max_turns turns, all with calls), or
-    `unfinished`. One aggregation by partial minima and sums; no order, no collected lists."""
-    inside = turns.where(F.col("turn_index") < max_turns)
-    calls = F.col("has_call")
-    missing = F.min(F.when(calls & F.col("status").isNull(), F.col("turn_index")))
-    end = inside.groupBy(*SAMPLE).agg(F.min(F.when(~calls, F.col("turn_index"))).alias("end"), F.count("*").alias("n"), missing.alias("missing"), F.max("turn_index").alias("last"))
-    whole = F.coalesce(F.col("missing") >= F.coalesce("end", F.lit(max_turns)), F.lit(True))
-    state = F.when(F.col("end").isNotNull() & whole & (F.col("last") >= F.col("end")), "finished").when(F.col("end").isNull() & (F.col("n") == max_turns) & whole, "truncated").otherwise("unfinished")
-    return end.select(*SAMPLE, "end", state.alias("state"))
-
-
-def summarised(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
-    """rebuild() with what the rules need of the turns up to the end: n_turns, n_calls, n_executed, n_harness, n_tool_error,
-    n_model_error, n_ok. Dense turns are assumed up to the end (turn_index 0, 1, ...); a gap makes it unfinished."""
+    `unfinished`, which a gap makes it too."""
     inside = turns.where(F.col("turn_index") < max_turns)
     own = Window.partitionBy(*SAMPLE)
     end = F.min(F.when(~F.col("has_call"), F.col("turn_index"))).over(own)
