@@ -458,6 +458,14 @@ def test_small_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("name, furniture", [
+    ("ad", True), ("top-ad", True), ("adSlot", True), ("cookie-consent-dialog", True), ("info-notice", True), ("article-comments", True), ("reader-comment", True), ("site-header", True), ("sidebar_left", True),
+    ("newsletter-form", True), ("post-footer", True), ("ad-free", False), ("notice-board", False), ("share-price", False), ("post-header", False), ("has-sidebar", False), ("no-comments", False), ("loader", False), ("commentary", False), ("article", False), ("", False),
+])
+def test_names_of_furniture(name, furniture):
+    assert html_text._names_furniture(name) == furniture
+
+
 PROSE = "Some prose with a comma, and more words in it to be long enough"
 
 

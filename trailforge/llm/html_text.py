@@ -39,8 +39,8 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 GONE = frozenset("nav footer head menu button select option input svg canvas object embed audio video math map".split()) | RAW
 ASIDE = frozenset("aside form header dialog label fieldset".split())
-NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disclaimer disqus footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notification overlay pager pagination popup promo promoted promotion related recommended remark reply respond share sharing shoutbox sidebar signup skip social sponsor sponsored sponsors subscribe subscription toolbar widget alert search complementary contentinfo".split())
-ENDS = frozenset("ad ads advert adverts advertisement breadcrumb breadcrumbs comments commentlist cookies footer menu nav navbar navigation newsletter pagination popup sidebar signup sponsors toolbar".split())
+NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disclaimer disqus footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notification overlay pager pagination popup promo promoted promotion related recommended remark reply respond share sharing shoutbox sidebar signup skip social sponsor sponsored sponsors subscribe subscription toolbar widget alert search complementary contentinfo dialog".split())
+ENDS = frozenset("ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments commentlist consent cookies disclaimer footer masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination popup sidebar signup sponsors toolbar".split())
 PLACES = frozenset("site page top bottom left right primary secondary global user reader container wrapper wrap box area section list block slot unit bar links buttons button icons inner outer item items body text content thread policy posts stories articles media form row col column panel group holder zone region placeholder google js mobile desktop sticky fixed small large".split())
 DENIED = frozenset("no non not free without has with".split())
 KEEP = frozenset("html body article main".split())
