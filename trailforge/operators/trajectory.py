@@ -61,14 +61,31 @@ def observation(result: Column, call: Column, turn: Column) -> Column:
     )
 
 
-def history(turns: DataFrame) -> DataFrame:
-    """turns (schemas.TURN) with `history`: the JSON of all messages that the model saw before each turn, prompt first.
+def _first() -> Column:
+    return F.array(F.to_json(F.struct(F.lit("user").alias("role"), F.col("prompt").alias("content"))))
+
 
-    turns needs a column prompt. Calls and results pair by position, cut to the shorter."""
+def _own_messages() -> Column:
+    """A turn's messages as JSON texts: what the assistant said, then its results; calls and results pair by position, cut to the shorter."""
     pairs = F.slice(F.arrays_zip("calls", "results"), 1, F.least(F.size("calls"), F.size("results")))
     shown = F.transform(pairs, lambda p: F.to_json(observation(p["results"], p["calls"], F.col("turn_index"))))
-    own = F.concat(F.array(F.to_json(assistant_message(F.col("text"), F.col("calls")))), shown)
+    return F.concat(F.array(F.to_json(assistant_message(F.col("text"), F.col("calls")))), shown)
+
+
+def history(turns: DataFrame) -> DataFrame:
+    """turns (schemas.TURN) with `history`: the JSON of all messages that the model saw before each turn, prompt first.
+
+    turns needs a column prompt."""
     before = Window.partitionBy(*SAMPLE).orderBy("turn_index").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.array(F.to_json(F.struct(F.lit("user").alias("role"), F.col("prompt").alias("content"))))
-    earlier = F.flatten(F.collect_list(own).over(before))
-    return turns.withColumn("history", F.concat(first, F.coalesce(earlier, F.array().cast("array<string>"))))
+    earlier = F.flatten(F.collect_list(_own_messages()).over(before))
+    return turns.withColumn("history", F.concat(_first(), F.coalesce(earlier, F.array().cast("array<string>"))))
+
+
+def conversations(turns: DataFrame) -> DataFrame:
+    """task_id, sample_index, messages: the whole conversation of each sample up to its first turn without a call, as JSON texts, prompt first.
+
+    turns: as for history(), bounded per sample by its turns."""
+    found = turns.groupBy(*SAMPLE).agg(F.array_sort(F.collect_list(F.struct("turn_index", (F.size("calls") > 0).alias("goes_on"), _own_messages().alias("own")))).alias("x"), F.first("prompt").alias("prompt"))
+    ends = F.array_position(F.transform("x", lambda t: t["goes_on"]), False)
+    upto = F.when(ends > 0, F.slice("x", 1, ends.cast("int"))).otherwise(F.col("x"))
+    return found.select(*SAMPLE, F.concat(_first(), F.flatten(F.transform(upto, lambda t: t["own"]))).alias("messages"))

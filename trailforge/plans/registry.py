@@ -158,19 +158,32 @@ def conv_render(spark, d):
 _TURN = """u as (select *, cast(sample_index as varchar) as s, case when status = 'harness_error' then '[infrastructure error] gone' else 'v' || k end as shown from turns where turn_index < 8)"""
 
 
-@query(with_views("turns") + ", " + _TURN + """, m as (select *, '{"role":"assistant","content":"' || event_type || '"' || case when has_call then ',"tool_calls":[{"id":"","name":"' || tool_name || '","arguments":"{}"}]' else '' end || '}' ||
-    case when has_call then E'\n{"role":"tool","tool_call_id":"t' || turn_index || '-' || tool_name || '-0","name":"' || tool_name || '","status":"' || status || '","content":"' || shown || '","is_error":' || (status <> 'ok') || '}' else '' end as own from u)
-  select task_id, sample_index, turn_index, sha256('{"role":"user","content":"task ' || task_id || '"}' || coalesce(E'\n' || string_agg(own, E'\n') over (partition by task_id, sample_index order by turn_index rows between unbounded preceding and 1 preceding), '')) as history from m""")
-def traj_history(spark, d):
-    """What the model saw before each turn."""
+_TURN += """, m as (select *, '{"role":"assistant","content":"' || event_type || '"' || case when has_call then ',"tool_calls":[{"id":"","name":"' || tool_name || '","arguments":"{}"}]' else '' end || '}' ||
+    case when has_call then E'\\n{"role":"tool","tool_call_id":"t' || turn_index || '-' || tool_name || '-0","name":"' || tool_name || '","status":"' || status || '","content":"' || shown || '","is_error":' || (status <> 'ok') || '}' else '' end as own from u)"""
+_TALK = ", " + _TURN + """, talk as (select task_id, sample_index, sha256('{"role":"user","content":"task ' || task_id || '"}' || E'\\n' || string_agg(own, E'\\n' order by turn_index)) as conversation
+  from m join ends using (task_id, sample_index) where e is null or turn_index <= e group by task_id, sample_index)"""
+
+
+def _talked(spark, d):
+    """Turns with texts, calls and results."""
     rows = A.turns(spark, d).where("turn_index < 8")
     none = lambda x, kind: F.when(F.col("has_call"), F.array(x)).otherwise(F.array().cast(kind))
     call = F.struct(F.lit("").alias("id"), F.col("tool_name").alias("name"), F.lit("{}").alias("arguments"))
     result = F.struct("tool_name", "status", F.concat(F.lit("v"), "k").alias("stdout"), F.lit("gone").alias("harness_error"), "call_index")
     calls = none(call, "array<struct<id:string,name:string,arguments:string>>")
     results = none(result, "array<struct<tool_name:string,status:string,stdout:string,harness_error:string,call_index:int>>")
-    turns = rows.select(*trajectory.SAMPLE, "turn_index", F.col("event_type").alias("text"), F.concat(F.lit("task "), "task_id").alias("prompt"), calls.alias("calls"), results.alias("results"))
-    return trajectory.history(turns).select(*trajectory.SAMPLE, "turn_index", F.sha2(F.array_join("history", "\n"), 256).alias("history"))
+    return rows.select(*trajectory.SAMPLE, "turn_index", F.col("event_type").alias("text"), F.concat(F.lit("task "), "task_id").alias("prompt"), calls.alias("calls"), results.alias("results"))
+
+
+def _conversations(spark, d):
+    return trajectory.conversations(_talked(spark, d)).select(*trajectory.SAMPLE, F.sha2(F.array_join("messages", "\n"), 256).alias("conversation"))
+
+
+@query(with_views("turns") + ", " + _TURN + """
+  select task_id, sample_index, turn_index, sha256('{"role":"user","content":"task ' || task_id || '"}' || coalesce(E'\\n' || string_agg(own, E'\\n') over (partition by task_id, sample_index order by turn_index rows between unbounded preceding and 1 preceding), '')) as history from m""")
+def traj_history(spark, d):
+    """What the model saw before each turn."""
+    return trajectory.history(_talked(spark, d)).select(*trajectory.SAMPLE, "turn_index", F.sha2(F.array_join("history", "\n"), 256).alias("history"))
 
 
 _NESTED = """, c as (select conv_id, turn, r as role, '{"role": ' || to_json(case when r in ('system', 'developer') then 'system' else r end) || ', "content": ' || to_json(text) || ', "reasoning_content": "", "tool_calls": [], "results": [], "images": []}' as shown from m),
@@ -232,6 +245,12 @@ def mined_records(spark, d):
     return mining.records(_screened(spark, d), A.tasks(spark, d)).select("metadata.*")
 
 
+@query(_SCREENED + _TALK + " select task_id, sample_index, conversation from screened join talk using (task_id, sample_index) where reason is null")
+def mined_conversations(spark, d):
+    """The conversations of admitted samples."""
+    return _screened(spark, d).where("reason is null").select(*trajectory.SAMPLE).join(_conversations(spark, d), list(trajectory.SAMPLE))
+
+
 def _pass(n: str, c: str, k: int) -> str:
     terms = " * ".join(f"(({n}) - ({c}) - {i}) / (({n}) - {i})" for i in range(k))
     return f"round(case when {k} > ({n}) then case when ({c}) > 0 then 1.0 else 0.0 end when ({n}) - ({c}) < {k} then 1.0 else 1 - {terms} end, 6)"
@@ -324,6 +343,16 @@ def preference_pairs(spark, d):
     return reward.pairs(reward.preference_outcomes(_scored(spark, d)))
 
 
+@query(_PAIRS + _TALK + " select o.task_id, margin, c.conversation as chosen, r.conversation as rejected from o join talk c on c.task_id = o.task_id and c.sample_index = chosen join talk r on r.task_id = o.task_id and r.sample_index = rejected where reason is null")
+def preference_conversations(spark, d):
+    """Pairs with both conversations."""
+    found = reward.pairs(reward.preference_outcomes(_scored(spark, d)))
+    talk = _conversations(spark, d)
+    for side in ("chosen", "rejected"):
+        found = found.join(talk.select("task_id", F.col("sample_index").alias(side), F.col("conversation").alias("talk")), ["task_id", side]).drop(side).withColumnRenamed("talk", side)
+    return found.select("task_id", "margin", "chosen", "rejected")
+
+
 @query(_PAIRS + " select coalesce(reason, 'admitted') as reason, count(*) as n from o group by 1")
 def preference_refusals(spark, d):
     return mining.histogram(reward.preference_outcomes(_scored(spark, d)))
