@@ -216,6 +216,9 @@ def test_mixing_by_brute_force(spark, slots):
     rows = [(i, " ".join("w" * rng.randrange(1, 5) for _ in range(rng.randrange(40) if i % 9 else 300)), rng.choice(["a", "a", "a", "a", "b", "c", "d", None])) for i in range(150)]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")
     want = slow_mix(rows, slots)
+    size = {i: len(t.split()) for i, t, _ in rows}
+    times = collections.Counter(r.doc_id for r in mixing.copies(d, mixing.mix(d, slots=slots)).collect())
+    assert times == {i: math.ceil(taken / size[i]) for i, (taken, *_) in want.items() if taken}
     for r in mixing.mix(d, slots=slots).collect():
         taken, slot, target = want[r.doc_id]
         assert (r.taken, r.first_slot) == (taken, slot) and abs(r.target - target) < 1e-6 * max(1, target)
