@@ -431,6 +431,7 @@ def test_release_leaves_nothing(spark, tmp_path):
     import corpus_pipeline
     from trailforge.llm.common import own_folder, release
 
+    release(spark)  # what earlier tests left
     corpus_pipeline.run(spark, SF).write.parquet(str(tmp_path / "out"))
     folder = pathlib.Path(own_folder(spark).removeprefix("file://").removeprefix("file:"))
     names = {p.name.rsplit("-", 1)[0] for p in folder.iterdir()}
